@@ -24,8 +24,23 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import gif_media
+
+    return gif_media.store(table(spark, sf_dir, "documents"))
+
+
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import dac_tokens
+    from matchcast.llm.shared import fresh_dir
+
+    folder = fresh_dir(spark, "tokens")
+    dac_tokens.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), folder)
+    return dac_tokens.read_documents(spark.read.schema(dac_tokens.SHARDS).parquet(folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_round_trip,)}
+    return {f.__name__: f for f in (op2_bpe_round_trip, op7_gif_media, op9_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
