@@ -22,14 +22,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from matchcast.llm.vec import ragged, span_hashes
+
 
 BITS, BLOCK, SHARD_TOKENS = 8, 512, 1 << 20
 #: Bytes of text whose pre-tokens are in memory at once, and pre-tokens that the cache may hold.
-CHUNK_BYTES, CACHE_WORDS = 2 << 20, 800_000
-#: The split pattern of the byte-level vocabulary.
+CHUNK_BYTES, CACHE_WORDS = 1 << 20, 2_000_000
+#: Fixed value: the split pattern of the byte-level vocabulary, as the library applies it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -100,8 +101,35 @@ class Levels:
         return cls(view(levels, np.uint8), view(bitmaps, np.uint8), view(ranks, np.uint32))
 
 
+#: Classes of Latin-1 characters: 1 letters, 2 numbers, 3 other signs, 4 white space.
+KINDS = np.full(256, 3, np.uint8)
+KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xAA, 0xB5, 0xBA, *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]] = 1
+KINDS[[*range(0x30, 0x3A), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = 2
+KINDS[[*range(0x09, 0x0E), 0x20, 0x85, 0xA0]] = 4
+
+
+def pre_token_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Starts of the pre-tokens that PATTERN finds in Latin-1 texts without apostrophes.
+
+    A run of letters, numbers or signs takes one space before it along; of white space before other characters, all but the last
+    character is one pre-token, and the last its own unless it is taken along."""
+    n = len(data)
+    kind = KINDS[data]
+    first = np.zeros(n + 1, bool)
+    first[offsets] = True
+    gap = kind == 4
+    change = np.ones(n, bool)
+    change[1:] = kind[1:] != kind[:-1]
+    change |= first[:-1]
+    led = np.zeros(n, bool)  # after a space of the same text
+    led[1:] = (data[:-1] == 0x20) & ~first[1:-1]
+    before = np.zeros(n, bool)  # the last of white space, with another character of the same text after it
+    before[:-1] = ~gap[1:] & ~first[1:-1]
+    return np.flatnonzero(np.where(gap, change | before, change & ~led))
+
+
 class Encoder:
-    """The tokenizers library behind a bounded cache of pre-tokens."""
+    """The tokenizers library behind a bounded cache of pre-tokens, looked up by their 64-bit hashes for whole chunks at once."""
 
     def __init__(self, path: str, end_id: int, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -110,45 +138,82 @@ class Encoder:
         self.library, self.limit = Tokenizer.from_file(path), cache_words
         self.library.no_padding()
         self.library.no_truncation()
+        if self.library.get_vocab_size() > 1 << 16:
+            raise ValueError("the vocabulary has ids beyond 16 bits")
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
-        self.end_bytes = np.array([end_id], np.uint16).tobytes()
-        self.small = self.library.get_vocab_size() <= 1 << 16
-        self.split = regex.compile(PATTERN)
-        self.cache: dict[str, bytes] = {}
-
-    def learn(self, lists: list[list[str]]) -> None:
-        new = set().union(*lists)
-        if len(self.cache) + len(new) > self.limit:
-            self.cache.clear()
-        fresh = list(new.difference(self.cache))
-        for s in range(0, len(fresh), 20_000):
-            part = fresh[s : s + 20_000]
-            found = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, np.uint16)
-            owner = np.array(found.word_ids, np.int64)
-            at = (2 * np.searchsorted(owner, np.arange(len(part) + 1))).tolist()
-            raw = ids.tobytes()
-            self.cache.update({w: raw[a:b] for w, a, b in zip(part, at, at[1:], strict=False)})
+        self.end = np.array([end_id], np.uint16).tobytes()
+        self.forget()
+
+    def forget(self) -> None:
+        """Hashes in ascending order, and for each the place and count of its ids."""
+        self.known, self.place, self.count, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint16)
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Adds pre-tokens, whose hashes ascend and are new."""
+        ids, counts = [], []
+        for s in range(0, len(words), 20_000):
+            found = self.library.encode(words[s : s + 20_000], is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint16))
+            counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(words[s : s + 20_000])))
+        count = np.concatenate(counts).astype(np.int32)
+        place = len(self.ids) + np.cumsum(count, dtype=np.int32) - count
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.place, self.count = np.insert(self.known, at, hashes), np.insert(self.place, at, place), np.insert(self.count, at, count)
+        self.ids = np.concatenate([self.ids, *ids])
+
+    def chunk(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Ids of Latin-1 texts without apostrophes and special tokens."""
+        offsets = np.r_[0, np.cumsum([*map(len, texts)])]
+        joined = b"".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        starts = pre_token_starts(data, offsets)
+        ends = np.r_[starts[1:], len(data)]
+        if not len(starts):
+            yield from (b"" for _ in texts)
+            return
+        hashes, inverse = np.unique(span_hashes(data, starts, ends), return_inverse=True)
+        if len(self.known) + len(hashes) > self.limit:
+            self.forget()
+        at = np.searchsorted(self.known, hashes)
+        lost = np.ones(len(hashes), bool)
+        inside = at < len(self.known)
+        lost[inside] = self.known[at[inside]] != hashes[inside]
+        if lost.any():
+            example = np.zeros(len(hashes), np.int64)
+            example[inverse] = np.arange(len(starts))
+            some = example[lost]
+            self.learn(hashes[lost], [joined[a:b].decode("latin-1") for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)])
+            at = np.searchsorted(self.known, hashes)
+        entry = at[inverse]
+        counts = self.count[entry].astype(np.int64)
+        flat = self.ids[np.repeat(self.place[entry].astype(np.int64), counts) + ragged(counts)]
+        total = np.r_[0, np.cumsum(counts)]
+        cuts = total[np.searchsorted(starts, offsets)].tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield flat[a:b].tobytes()
 
     def rows(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text and the end id, as little-endian unsigned 16-bit values."""
-        assert self.small, "the vocabulary has ids beyond 16 bits"
+        """Ids of each text and the end id, as little-endian unsigned 16-bit values. A text that is not within Latin-1, has an
+        apostrophe or a special token goes to the library whole."""
         i = 0
         while i < len(texts):
-            lists, whole, size, start = [], {}, 0, i
+            narrow, whole, size, start = [], {}, 0, i
             while i < len(texts) and size < CHUNK_BYTES:
-                text = texts[i]
-                if any(x in text for x in self.special) or not within_tables(text):
+                text, plain = texts[i], None
+                if "'" not in text and not any(x in text for x in self.special):
+                    try:
+                        plain = text.encode("latin-1")
+                    except UnicodeEncodeError:
+                        pass
+                if plain is None:
                     whole[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
-                    lists.append([])
                 else:
-                    lists.append(self.split.findall(text))
+                    narrow.append(plain)
                 size += len(text)
                 i += 1
-            self.learn(lists)
-            get = self.cache.__getitem__
-            for k, words in enumerate(lists, start):
-                yield (whole[k] if k in whole else b"".join(map(get, words))) + self.end_bytes
+            got = self.chunk(narrow) if narrow else iter(())
+            for k in range(start, i):
+                yield (whole[k] if k in whole else next(got)) + self.end
 
 
 @lru_cache(maxsize=1)
@@ -157,17 +222,6 @@ def worker_encoder(path: str, end_id: int) -> Encoder:
     return Encoder(path, end_id)
 
 
-@lru_cache(maxsize=1)
-def _beyond() -> regex.Pattern:
-    """Characters past the blocks whose classes all Unicode versions of the last decade share."""
-    return regex.compile("[^\x00-Ԁ]")
-
-
-def within_tables(text: str) -> bool:
-    """Whether our split of the text surely equals the library's; else the library splits it."""
-    return text.isascii() or _beyond().search(text) is None
-
-
 SHARDS = T.StructType([
     T.StructField("partition", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("doc_ids", T.ArrayType(T.LongType())),
     T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("n_tokens", T.LongType()), T.StructField("levels", T.ArrayType(T.BinaryType())),

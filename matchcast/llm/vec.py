@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,19 +56,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    ones = np.ones(n, U64)
-    ones[0] = 1
-    up, down = np.full(n, _BASE, U64), np.full(n, _INVERSE, U64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_grown: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    up, down = _powers(size)
-    return up[:n], down[:n]
+    """Powers of the base and of its inverse; the longest asked for so far are kept."""
+    if len(_grown[0]) < n:
+        size = -(-n // 65536) * 65536
+        for k, base in enumerate((_BASE, _INVERSE)):
+            steps = np.full(size, base, U64)
+            steps[0] = 1
+            _grown[k] = np.multiply.accumulate(steps)
+    return _grown[0][:n], _grown[1][:n]
 
 
 def words(data: np.ndarray, offsets: np.ndarray, wordy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
