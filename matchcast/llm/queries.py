@@ -24,6 +24,18 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import secret_scan
+
+    return secret_scan.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import url_filter
+
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchcast.llm import gif_media
 
@@ -40,8 +52,10 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_round_trip, op7_gif_media, op9_token_output)}
+    return {f.__name__: f for f in (op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op7_gif_media, op9_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from matchcast.llm import url_filter
+
+    return {"op4_url_filter": url_filter.SQL}
