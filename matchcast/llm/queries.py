@@ -36,6 +36,12 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import unit_dedup
+
+    return unit_dedup.by_document(unit_dedup.repeats(table(spark, sf_dir, "documents")))
+
+
 def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchcast.llm import gif_media
 
@@ -52,7 +58,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op7_gif_media, op9_token_output)}
+    return {f.__name__: f for f in (op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op5_substring_dedup, op7_gif_media, op9_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
