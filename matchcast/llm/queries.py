@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,6 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(key: str, n: int) -> Column:
+    """crc32 of the key as text, modulo n."""
+    return F.crc32(F.col(key).cast("string")) % n
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import quality_nbsvm
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_nbsvm.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    scored = quality_nbsvm.score(docs.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "text"), model, keep=("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchcast.llm import pair_bpe
 
@@ -48,6 +62,14 @@ def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif_media.store(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import ecoc_langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = ecoc_langid.fit(docs.where(remainder("doc_id", 4) != 2))
+    return ecoc_langid.predict(docs.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "text"), model, keep=("doc_id", "held_out"))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchcast.llm import dac_tokens
     from matchcast.llm.shared import fresh_dir
@@ -58,7 +80,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op5_substring_dedup, op7_gif_media, op9_token_output)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op5_substring_dedup, op7_gif_media, op8_language_id, op9_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
