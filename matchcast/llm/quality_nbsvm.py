@@ -20,25 +20,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from matchcast.llm.shared import BROADCAST_BYTES
-from matchcast.llm.vec import chunks, utf8
+from matchcast.llm.vec import SPACE, chunks, span_hashes, utf8, words
 
 #: Hashed n-grams of three bytes; most rows that the hinge-loss model is fit on; smoothing of counts; cost of errors; passes;
 #: weight of the fitted against the mean weight; share of the sample for the logistic curve.
 BITS, SAMPLE, SMOOTH, COST, PASSES, BETA, CURVE = 16, 6000, 1.0, 1.0, 12, 0.5, 0.25
+#: Lengths of the word n-grams that repeat one word.
+AGAIN = (2, 3, 4, 6)
 
 
 def indicators(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashed n-grams of each row, ascending by row, and their rows."""
+    """The distinct n-grams of each row, ascending by row, and their rows: hashed n-grams of bytes, and, in the first places, those
+    of words in an alphabet that only says whether a word is the one before again, for each length in ``AGAIN``."""
     n = len(offsets) - 1
     if len(data) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     a = data.astype(np.uint32)
     h = (a[:-2] * np.uint32(0x9E3779B1)) ^ (a[1:-1] * np.uint32(0x85EBCA77)) ^ (a[2:] * np.uint32(0xC2B2AE3D))
     h = ((h * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS)).astype(np.int64)
+    h[h < len(AGAIN)] = len(AGAIN)
     row = np.repeat(np.arange(n), np.diff(offsets))
     inside = row[2:] == row[:-2]
     seen = np.zeros(n << BITS, bool)
     seen[(row[:-2] << BITS | h)[inside]] = True
+    starts, ends, of = words(data, offsets, ~SPACE)
+    if len(starts) > 1:
+        own = span_hashes(data, starts, ends)
+        same = np.r_[False, (own[1:] == own[:-1]) & (of[1:] == of[:-1])]
+        for k, length in enumerate(AGAIN):
+            run = same.copy()
+            for j in range(1, length - 1):
+                run[j:] &= same[:-j]
+                run[:j] = False
+            seen[of[run] << BITS | k] = True
     at = np.flatnonzero(seen)
     return at & ((1 << BITS) - 1), at >> BITS
 
