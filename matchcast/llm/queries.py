@@ -56,6 +56,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_dedup.by_document(unit_dedup.repeats(table(spark, sf_dir, "documents")))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import decontam
+
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchcast.llm import gif_media
 
@@ -80,7 +86,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op5_substring_dedup, op7_gif_media, op8_language_id, op9_token_output)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op5_substring_dedup, op6_decontaminate, op7_gif_media, op8_language_id, op9_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -99,26 +99,20 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray,
     n = len(hashes)
     if not n:
         return hashes, rows, np.zeros(0, np.int64)
-    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    count = np.diff(np.r_[first, n])
-    seeds = U64(0x8EBC6AF09C88C6E3)
+    up, down = powers(n + 1)
+    total = np.zeros(n + 1, U64)
+    np.cumsum(hashes * up[:-1], out=total[1:])
+    full = np.zeros(n, bool)
     if n >= k:
-        at = np.flatnonzero(rows[: n - k + 1] == rows[k - 1 :])
-        value = np.full(len(at), seeds, U64)
-        for j in range(k):
-            value = mix(value * U64(_BASE) + hashes[at + j])
-    else:
-        at, value = np.zeros(0, np.int64), np.zeros(0, U64)
-    small = first[count < k]
-    if len(small):
-        few, left = np.full(len(small), seeds, U64), count[count < k]
-        for j in range(k - 1):
-            few = np.where(j < left, mix(few * U64(_BASE) + hashes[np.minimum(small + j, n - 1)]), few)
-        few = mix(few ^ left.astype(U64))
-        at, value = np.r_[at, small], np.r_[value, few]
-        order = np.argsort(at, kind="stable")
-        at, value = at[order], value[order]
-    return value, rows[at], at
+        full[: n - k + 1] = rows[: n - k + 1] == rows[k - 1 :]
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    few = first[~full[first]]
+    full[few] = True
+    at = np.flatnonzero(full)
+    size = np.full(len(at), k)
+    if len(few):
+        size[np.searchsorted(at, few)] = (np.r_[first[1:], n] - first)[~np.isin(first, few, invert=True)]
+    return mix((total[at + size] - total[at]) * down[at] + size.astype(U64) * U64(0x8EBC6AF09C88C6E3)), rows[at], at
 
 
 def ragged(counts: np.ndarray) -> np.ndarray:
