@@ -85,8 +85,14 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac_tokens.read_documents(spark.read.schema(dac_tokens.SHARDS).parquet(folder))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchcast.llm import sigtree_join
+
+    return sigtree_join.join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op5_substring_dedup, op6_decontaminate, op7_gif_media, op8_language_id, op9_token_output)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_bpe_round_trip, op3_secret_scan, op4_url_filter, op5_substring_dedup, op6_decontaminate, op7_gif_media, op8_language_id, op9_token_output, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
