@@ -202,3 +202,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     chosen = docs.select(*keep, F.col(text).cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1]) + ", score double"
     return chosen.mapInArrow(run, schema)
+
+
+def select(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The documents that score ``least`` or more; all columns stay."""
+    sent, column = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            data, offsets = utf8(batch.column(column))
+            good = [own.scores(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) >= least for a, b in parts(offsets)]
+            yield batch.filter(pa.array(np.concatenate(good) if good else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)

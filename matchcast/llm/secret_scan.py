@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchcast.llm.shared import cut
+from matchcast.llm.shared import BROADCAST_BYTES, cut
 
 #: The base kinds and patterns, the least length of the value, and where the value stands.
 BASE = (
@@ -102,3 +102,26 @@ def scan(docs: DataFrame, text: str = "text", repository: str = "source", owner:
         F.transform(all_spans, lambda x: F.struct(x["start"], x["end"], named(x["rank"]).alias("kind"), F.array_contains(F.col("_copied"), x["hash"]).alias("copied"))).alias("found"),
     )
 
+
+
+def redact(docs: DataFrame, text: str = "text", repository: str = "source", owner: str = "source") -> DataFrame:
+    """The documents with every found span but copied examples replaced by its kind in brackets; all columns stay.
+
+    Spans depend on the text alone, so they are joined back by 128 bits of its hash, once per distinct text that has any."""
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    keyed = docs.select("*", F.xxhash64(body).alias("_h1"), F.xxhash64(F.lit(7), body).alias("_h2"))
+    found = scan(keyed, text, repository, owner, key="_h1", keep=("_h1", "_h2"))
+    spans_ = found.select("_h1", "_h2", F.filter("found", lambda x: ~x["copied"]).alias("_found")).where(F.size("_found") > 0)
+    spans_ = cut(spans_.groupBy("_h1", "_h2").agg(F.first("_found").alias("_found")))
+    small = spans_.count() * 256 <= BROADCAST_BYTES
+    left = F.aggregate(
+        "_found",
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
+        lambda a, x: F.when(
+            x["start"] >= a["at"],
+            F.struct(x["end"].alias("at"), F.concat(a["text"], F.substring(F.col(text), a["at"] + 1, x["start"] - a["at"]), F.lit("["), x["kind"], F.lit("]")).alias("text")),
+        ).otherwise(F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["text"].alias("text"))),
+        lambda a: F.concat(a["text"], F.substring(F.col(text), a["at"] + 1, F.length(text))),
+    )
+    joined_ = keyed.join(F.broadcast(spans_) if small else spans_, ["_h1", "_h2"], "left")
+    return joined_.select(*(F.when(F.col("_found").isNotNull(), left).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in docs.columns))

@@ -406,3 +406,14 @@ def join(documents: DataFrame, text: str = "text", key: str = "doc_id", k: int =
     out = rows.where("n > 0").join(named, ["d1", "d2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
     return out.unionByName(alone)
+
+
+def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents without those whose component has a lesser doc_id; all columns stay. Of rows with equal doc_id and text one stays;
+    rows without doc_id stay."""
+    found = cut(join(documents, text, key, k, num, den).select("doc_id", "component_id"))
+    gone = cut(found.where("component_id < doc_id").select("doc_id").distinct())
+    small = gone.count() * 16 <= BROADCAST_BYTES
+    left = documents.join(F.broadcast(gone) if small else gone, documents[key].cast("bigint") == gone["doc_id"], "left_anti")
+    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1)
+    return left if twice.isEmpty() else left.dropDuplicates([key, text])
