@@ -5,7 +5,7 @@ which ids go on, and level 1 holds the next chunk of just those, in order, and s
 before every block of ``BLOCK`` bits, so the place of an id in the next level is one directory entry and one popcount away.
 
 File format: a Parquet table in a folder that Spark can write, one row per shard, in ascending order of documents: partition,
-shard, doc_ids and counts (of its documents, in order), n_tokens, levels, bitmaps and ranks (one binary value per level).
+shard, before (tokens of the partition's earlier shards), doc_ids and counts (of its documents, in order), n_tokens, levels, bitmaps and ranks (one binary value per level).
 A shard closes at ``SHARD_TOKENS`` tokens; a document is never divided.
 
 Defined cases: null text is empty; an empty text is the end id alone; repeated doc_ids keep one row each, in any order among
@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from matchcast.llm.shared import BROADCAST_BYTES
 from matchcast.llm.vec import ragged, span_hashes
 
 
@@ -223,11 +224,11 @@ def worker_encoder(path: str, end_id: int) -> Encoder:
 
 
 SHARDS = T.StructType([
-    T.StructField("partition", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("doc_ids", T.ArrayType(T.LongType())),
+    T.StructField("partition", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())),
     T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("n_tokens", T.LongType()), T.StructField("levels", T.ArrayType(T.BinaryType())),
     T.StructField("bitmaps", T.ArrayType(T.BinaryType())), T.StructField("ranks", T.ArrayType(T.BinaryType())),
 ])
-ARROW = pa.schema([("partition", pa.int32()), ("shard", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("n_tokens", pa.int64()), *((x, pa.list_(pa.binary())) for x in ("levels", "bitmaps", "ranks"))])
+ARROW = pa.schema([("partition", pa.int32()), ("shard", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("n_tokens", pa.int64()), *((x, pa.list_(pa.binary())) for x in ("levels", "bitmaps", "ranks"))])
 
 
 def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str = "doc_id", end_id: int = 0, shard_tokens: int = SHARD_TOKENS) -> None:
@@ -237,12 +238,12 @@ def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
         encoder, shard = worker_encoder(path, end_id), 0
         keys: list[int] = []
         parts: list[bytes] = []
-        size = partition = 0
+        size = partition = before = 0
 
         def close() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), np.uint16)
             levels, bitmaps, ranks = Levels.of(ids).blobs()
-            row = [[partition], [shard], [keys], [[len(x) // 2 for x in parts]], [len(ids)], [levels], [bitmaps], [ranks]]
+            row = [[partition], [shard], [before], [keys], [[len(x) // 2 for x in parts]], [len(ids)], [levels], [bitmaps], [ranks]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, ARROW.types, strict=True)], schema=ARROW)
 
         for batch in batches:
@@ -257,7 +258,7 @@ def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
                     size += len(ids) // 2
                     if size >= shard_tokens:
                         yield close()
-                        keys, parts, size, shard = [], [], 0, shard + 1
+                        keys, parts, size, shard, before = [], [], 0, shard + 1, before + size
         if parts:
             yield close()
 
@@ -270,8 +271,8 @@ def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
 def read_documents(shards: DataFrame) -> DataFrame:
     """Per document, from the shards: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    The counts of partitions, as many rows as the writer had partitions, are summed up to give each its offset; offsets within a
-    partition follow from its own shards, so no data row is gathered in one place."""
+    The counts of the writer's partitions, a row each, are summed up to give every partition its offset, and go to the shards in a
+    join; the shards themselves stay where they are read."""
     spark = shards.sparkSession
     totals = sorted((r["partition"], r["n"]) for r in shards.groupBy("partition").agg(F.sum("n_tokens").alias("n")).collect())
     before, offsets = 0, []
@@ -279,9 +280,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
         offsets.append((p, before))
         before += n
     bases = spark.createDataFrame(offsets, "partition int, base bigint")
-    own = shards.select("partition", "shard", "n_tokens")
-    prior = own.alias("a").join(own.alias("b"), "partition").where("b.shard <= a.shard").groupBy("partition", "a.shard").agg((F.sum("b.n_tokens") - F.first("a.n_tokens")).alias("prior"))
-    placed = shards.join(prior, ["partition", "shard"]).join(bases, "partition").withColumn("start", F.col("base") + F.col("prior"))
+    placed = shards.join(F.broadcast(bases) if 16 * len(offsets) <= BROADCAST_BYTES else bases, "partition").withColumn("start", F.col("base") + F.col("before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
