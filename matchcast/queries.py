@@ -1,11 +1,473 @@
-"""Registered queries of the match operators and their SQL."""
+"""Registered queries of the match operators, each over whole tables, with the same in SQL where SQL can express it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+
+from matchcast.functions import clean, html, score, text
+from matchcast.operators import encode, evaluate, models, network, ordering, rows, serve
+from matchcast.plans.bindings import KEY, ORDER, VIEW, matches, numbered, table
+from matchcast.schema import conform
+from matchcast.sources import files, pages as page_source
+
+REF = "1998-09-02"
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def six(x) -> F.Column:
+    """Doubles that two engines add up in different orders."""
+    return F.round(x, 6)
+
+
+# Sources, projections, filters
+
+
+@query("SELECT r_regionkey, r_name FROM region")
+def q01_csv_round_trip(spark, sf_dir):
+    schema = T.StructType([T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())])
+    path = files.write_csv(conform(table(spark, sf_dir, "region"), schema), files.scratch(spark, "region"))
+    return files.read_csv(spark, path, schema)
+
+
+@query("SELECT o_orderkey, CAST(NULL AS VARCHAR) AS note, o_orderstatus, CAST(NULL AS INTEGER) AS rank FROM orders")
+def q02_conform(spark, sf_dir):
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("note", T.StringType()), T.StructField("o_orderstatus", T.StringType()), T.StructField("rank", T.IntegerType())])
+    return conform(table(spark, sf_dir, "orders").drop("o_orderpriority"), schema)
+
+
+@query(f"""SELECT CAST('trailing' AS VARCHAR) AS part, CAST(o_orderdate AS DATE) AS date, o_orderkey FROM orders
+  WHERE CAST(o_orderdate AS DATE) > DATE '{REF}' - INTERVAL 92 DAY
+  UNION ALL SELECT 'yesterday', CAST(o_orderdate AS DATE), o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '{REF}' - INTERVAL 1 DAY""")
+def q03_trailing_and_yesterday(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"), "o_orderkey")
+    parts = (("trailing", rows.trailing(orders, "date", REF)), ("yesterday", rows.on_day_before(orders, "date", REF)))
+    return rows.append(*(p.select(F.lit(n).alias("part"), "date", "o_orderkey") for n, p in parts))
+
+
+@query(f"""WITH {VIEW} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, team_rank_1, team_rank_2 FROM matches_v WHERE team_rank_1 % 7 <> 0 AND team_rank_2 % 7 <> 0""")
+def q04_both_ranked(spark, sf_dir):
+    shown = lambda c: F.when(F.col(c) % 7 == 0, rows.UNRANKED).otherwise(F.concat(F.lit("#"), F.col(c).cast("string")))
+    m = matches(spark, sf_dir).withColumn("a", shown("team_rank_1")).withColumn("b", shown("team_rank_2"))
+    return rows.both_ranked(m, "a", "b").select(*KEY, clean.hash_rank(F.col("a")).cast("bigint").alias("team_rank_1"), clean.hash_rank(F.col("b")).cast("bigint").alias("team_rank_2"))
+
+
+@query(f"WITH {VIEW} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, team_rank_1, team_rank_2 FROM matches_v WHERE team_rank_1 <= 50 OR team_rank_2 <= 50")
+def q05_either_within(spark, sf_dir):
+    return rows.either_within(matches(spark, sf_dir), "team_rank_1", "team_rank_2").select(*KEY, "team_rank_1", "team_rank_2")
+
+
+@query("""WITH w AS (SELECT doc_id, list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda x: x <> '') AS words FROM documents)
+SELECT doc_id, len(words) AS n_words FROM w WHERE len(words) > 0 AND words[1] <> words[len(words)]""")
+def q06_list_filters(spark, sf_dir):
+    words = F.filter(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " "), lambda x: x != "")
+    docs = table(spark, sf_dir, "documents").select("doc_id", words.alias("words"))
+    return rows.decided(rows.with_first(docs, "words"), "words").select("doc_id", F.size("words").cast("bigint").alias("n_words"))
+
+
+@query(f"""WITH {VIEW} SELECT team_1, count(*) AS n FROM matches_v WHERE team_1 IN (SELECT team_1 FROM matches_v GROUP BY team_1 HAVING count(*) > 590) GROUP BY team_1""")
+def q07_frequent_teams(spark, sf_dir):
+    return rows.frequent(matches(spark, sf_dir), "team_1", 590).groupBy("team_1").agg(F.count("*").alias("n"))
+
+
+_POOL = "['Dust2', 'Mirage', 'Inferno', 'Nuke', 'Overpass', 'Vertigo', 'Ancient']"
+
+
+@query(f"""WITH e AS (SELECT event_id, CASE WHEN event_type = 'click' THEN {_POOL} ELSE [event_type, 'Nuke'] END AS maps FROM events)
+SELECT event_id, unnest(maps) AS map, unnest(range(len(maps))) AS map_place FROM e""")
+def q08_map_pool(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    maps = F.when(F.col("event_type") == "click", F.array(F.lit(rows.TO_BE_ANNOUNCED))).otherwise(F.array(F.col("event_type"), F.lit("Nuke")))
+    return rows.expand_maps(events.select("event_id", maps.alias("maps")), "maps").select("event_id", "map", F.col("map_place").cast("bigint").alias("map_place"))
+
+
+@query(f"""WITH {VIEW} SELECT DISTINCT team AS value FROM (SELECT team_1 AS team FROM matches_v UNION ALL SELECT team_2 FROM matches_v)""")
+def q09_vocabulary(spark, sf_dir):
+    return rows.distinct_values(matches(spark, sf_dir), ["team_1", "team_2"])
+
+
+@query("""SELECT token, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS token FROM documents) WHERE token <> '' GROUP BY token""")
+def q09b_token_vocabulary(spark, sf_dir):
+    return encode.multi_hot_rows(table(spark, sf_dir, "documents").select(F.split("text", " ").alias("tokens")), "tokens", []).where("token <> ''")
+
+
+# Scores
+
+
+def _sql_ratio(a: str, b: str) -> str:
+    return f"CASE WHEN {b} <> 0 THEN CAST({a} AS DOUBLE) / {b} WHEN {a} > 0 THEN CAST('inf' AS DOUBLE) ELSE CAST('nan' AS DOUBLE) END"
+
+
+_LIVE = f"""WITH {VIEW}, r AS (SELECT *, {_sql_ratio('score_1', 'score_2')} AS r1, {_sql_ratio('score_2', 'score_1')} AS r2 FROM matches_v),
+s AS (SELECT *, CASE WHEN score_1 = 0 AND score_2 = 0 THEN NULL WHEN 1 / (1 + exp(1 - r1)) < 0.5 THEN 1 - 1 / (1 + exp(1 - r2)) ELSE 1 / (1 + exp(1 - r1)) END AS score FROM r)"""
+
+
+@query(f"{_LIVE} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, score_1, score_2, round(score, 6) AS score FROM s")
+def q10_live_score(spark, sf_dir):
+    return matches(spark, sf_dir).select(*KEY, "score_1", "score_2", six(score.live_score(F.col("score_1"), F.col("score_2"))).alias("score"))
+
+
+@query(f"""WITH {VIEW}, r AS (SELECT *, {_sql_ratio('score_1', 'score_2')} AS r1, {_sql_ratio('score_2', 'score_1')} AS r2 FROM matches_v)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(CASE WHEN score_1 = 0 AND score_2 = 0 THEN NULL
+  WHEN 1 / (1 + pow(exp(1 - r1), 1.25)) < 0.5 THEN 1 - 1 / (1 + exp(1 - pow(r2, 1.25))) ELSE 1 / (1 + pow(exp(1 - r1), 1.25)) END, 6) AS score FROM r""")
+def q10b_notebook_score(spark, sf_dir):
+    return matches(spark, sf_dir).select(*KEY, six(score.notebook_score(F.col("score_1"), F.col("score_2"))).alias("score"))
+
+
+# Features
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, token, count(*) AS n FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, unnest(list_transform(range(10), lambda i: concat('P', CAST((l_suppkey * 5 + i) % 400 AS VARCHAR)))) AS token FROM lineitem)
+GROUP BY ALL""")
+def q11_multi_hot(spark, sf_dir):
+    return encode.multi_hot_rows(matches(spark, sf_dir), "players", KEY)
+
+
+@query("""WITH o AS (SELECT CAST(o_orderdate AS DATE) AS date FROM orders ORDER BY o_orderkey LIMIT 1)
+SELECT o_orderkey, date_diff('day', (SELECT date FROM o), CAST(o_orderdate AS DATE)) AS delta_time, date_diff('day', DATE '2018-01-01', CAST(o_orderdate AS DATE)) AS since_2018 FROM orders""")
+def q12_day_offsets(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    origin = rows.origin_date(orders, "o_orderdate", ["o_orderkey"])
+    date = F.to_date("o_orderdate")
+    return orders.crossJoin(F.broadcast(origin)).select("o_orderkey", text.days_since(date, F.col("origin")).cast("bigint").alias("delta_time"), text.days_since(date, "2018-01-01").cast("bigint").alias("since_2018"))
+
+
+@query("""WITH d AS (SELECT o_orderkey, CAST(date_diff('day', DATE '2016-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS day FROM orders), s AS (SELECT avg(day) AS m, stddev_pop(day) AS sd FROM d)
+SELECT o_orderkey, round((day - m) / sd, 6) AS z FROM d, s""")
+def q13_z_score(spark, sf_dir):
+    days = table(spark, sf_dir, "orders").select("o_orderkey", text.days_since(F.to_date("o_orderdate"), "2016-01-01").cast("double").alias("day"))
+    return encode.z_score(days, "day", "z").select("o_orderkey", six("z").alias("z"))
+
+
+# Order
+
+
+@query(f"""WITH {VIEW}, c AS (SELECT *, count(*) OVER () - seq AS k, count(*) OVER () AS n FROM numbered), t AS (SELECT *, ceil(n * 0.07 - 1e-9) AS test FROM c)
+SELECT seq, l_orderkey, CASE WHEN k < test THEN 'test' WHEN k < test + ceil((n - test) * 0.07 - 1e-9) THEN 'validation' ELSE 'train' END AS part FROM t""")
+def q14_ordered_holdout(spark, sf_dir):
+    return ordering.holdout(numbered(spark, sf_dir), nested=True).select("seq", "l_orderkey", "part")
+
+
+@query("""WITH n AS (SELECT *, count(*) OVER () - row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS k FROM orders), f AS (SELECT unnest(range(4)) AS fold)
+SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN k >= 4000 - 1000 * fold THEN 'train' ELSE 'validation' END AS part, count(*) AS n, round(avg(o_totalprice), 4) AS mean, min(k) AS first_k, max(k) AS last_k
+FROM n, f WHERE k BETWEEN 3500 - 1000 * fold AND 9999 - 1000 * fold GROUP BY 1, 2""")
+def q15_rolling_folds(spark, sf_dir):
+    orders = ordering.with_seq(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"])
+    return ordering.rolling_folds(orders).groupBy("fold", "part").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean"), F.min("k").alias("first_k"), F.max("k").alias("last_k"))
+
+
+@query("""SELECT o_orderkey, k AS place FROM (SELECT o_orderkey, count(*) OVER () - row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS k FROM orders) WHERE k < 9999""")
+def q16_last_reversed(spark, sf_dir):
+    return ordering.last_reversed(ordering.with_seq(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"])).select("o_orderkey", "place")
+
+
+@query("""WITH e AS (SELECT *, CAST(ts AS DATE) AS day FROM events), d AS (SELECT day, row_number() OVER (ORDER BY day) AS r FROM (SELECT DISTINCT day FROM e))
+SELECT CAST(CASE WHEN r <= 3 THEN 'first' ELSE 'fifth' END AS VARCHAR) AS part, day, event_id FROM e JOIN d USING (day) WHERE r <= 3 OR r = 5""")
+def q17_day_sections(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    first = ordering.nth_sections(events, "day", "day", first=3).select(F.lit("first").alias("part"), "day", "event_id")
+    return first.unionByName(ordering.nth_sections(events, "day", "day", nth=5).select(F.lit("fifth").alias("part"), "day", "event_id"))
+
+
+_PICK = "CASE WHEN pick = 'R' THEN 0 ELSE 1 END"
+
+
+@query(f"""WITH {VIEW} SELECT 0 AS side, l_orderkey, l_linenumber, l_partkey, l_suppkey, team_1, team_2, score_1, score_2, team_rank_1, team_rank_2, {_PICK} AS right_pick FROM matches_v
+UNION ALL SELECT 1, l_orderkey, l_linenumber, l_partkey, l_suppkey, team_2, team_1, score_2, score_1, team_rank_2, team_rank_1, 1 - {_PICK} FROM matches_v""")
+def q18_mirror(spark, sf_dir):
+    m = matches(spark, sf_dir).withColumn("right_pick", rows.right_pick(F.col("pick"), "R"))
+    m = m.select(*KEY, "team_1", "team_2", "score_1", "score_2", "team_rank_1", "team_rank_2", "right_pick")
+    return rows.mirror(m, [("team_1", "team_2"), ("score_1", "score_2"), ("team_rank_1", "team_rank_2")], ("right_pick",))
+
+
+@query("""SELECT event_id, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type AND lag(event_type) OVER w IS NOT NULL THEN 0 ELSE 1 END AS changed FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def q19_changes(spark, sf_dir):
+    return ordering.changes(table(spark, sf_dir, "events"), "event_type", ["ts", "event_id"], ["user_id"]).select("event_id", "changed")
+
+
+# Extraction and cleaning
+
+
+@query(r"""SELECT page_id, regexp_extract_all(html, '<title\b[^>]*>([^<]*)</title>', 1)[1] AS title, regexp_extract_all(html, '<h1\b[^>]*>([^<]*)</h1>', 1)[1] AS h1,
+  len(regexp_extract_all(html, '<a\b[^>]*?\bhref="([^"]*)"', 1)) AS links, concat('https://example.org', regexp_extract_all(html, '<a\b[^>]*?\bhref="([^"]*)"', 1)[1]) AS first_link,
+  regexp_extract_all(html, '\bclass="([^"]*)"', 1)[1] AS first_class FROM pages""")
+def q20_html_fields(spark, sf_dir):
+    h = F.col("html")
+    links = html.attributes(h, "a", "href")
+    return table(spark, sf_dir, "pages").select(
+        "page_id", html.text_of(h, "title").alias("title"), html.text_of(h, "h1").alias("h1"), F.size(links).cast("bigint").alias("links"), page_source.absolute("https://example.org", F.get(links, F.lit(0))).alias("first_link"), html.attribute(h, "class").alias("first_class")
+    )
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def q21_json_envelope(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", page_source.payload(F.col("props"), "$.k").alias("k"))
+
+
+@query("SELECT (page - 1) // 20 AS pack, page, concat('https://example.org/list?page=', CAST(page AS VARCHAR)) AS url FROM (SELECT unnest(range(1, 1001)) AS page)")
+def q22_list_pages(spark, sf_dir):
+    return page_source.list_pages(spark, "https://example.org/list?page=%d")
+
+
+@query(r"""WITH c AS (SELECT page_id, html, regexp_extract_all(html, '\bclass="([^"]*)"', 1)[1] AS cls FROM pages)
+SELECT page_id, CASE WHEN list_contains(string_split(cls || ' results won', ' '), 'won') AND list_contains(string_split(cls || ' results won', ' '), 'results') THEN 1 ELSE 0 END AS both,
+  CASE WHEN cls = 'ad' THEN 'ad' WHEN cls = 'ad won' THEN 'won' ELSE 'other' END AS kind, CASE WHEN regexp_matches(html, '<h1') THEN 1 ELSE 0 END AS has_h1 FROM c""")
+def q23_class_predicates(spark, sf_dir):
+    cls = html.attribute(F.col("html"), "class")
+    kind = F.when(html.is_class(cls, "ad"), "ad").when(html.is_class(cls, "ad won"), "won").otherwise("other")
+    return table(spark, sf_dir, "pages").select("page_id", html.has_classes(F.concat(cls, F.lit(" results won")), "won", "results").cast("int").alias("both"), kind.alias("kind"), html.exists(F.col("html"), "<h1").alias("has_h1"))
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, list_transform(range(10), lambda i: concat('P', CAST((l_suppkey * 5 + i) % 400 AS VARCHAR))) AS players FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, array_to_string(players[6:10], ' ') AS side_1, array_to_string(list_reverse(players[6:10]), ' ') AS side_2, players[1] AS first_half, players[6] AS second_half, players[2] AS player2, CAST(NULL AS VARCHAR) AS player99 FROM p""")
+def q24_line_ups(spark, sf_dir):
+    m = matches(spark, sf_dir).withColumn("shown", F.concat(F.lit("['"), F.array_join("players", "', '"), F.lit("']")))
+    names = text.list_of(F.col("shown"))
+    first, second = text.halves(names)
+    return m.select(*KEY, F.array_join(text.first_side(names), " ").alias("side_1"), F.array_join(text.second_side(names), " ").alias("side_2"), text.item(first, 0).alias("first_half"), text.item(second, 0).alias("second_half"), text.item(names, 1).alias("player2"), text.item(names, 98).alias("player99"))
+
+
+@query("SELECT l_orderkey, round(avg(l_quantity), 6) AS mean_rating FROM (SELECT l_orderkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS r FROM lineitem) WHERE r > 1 GROUP BY l_orderkey")
+def q25_mean_rating(spark, sf_dir):
+    grouped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))).alias("cells"))
+    values = F.transform(F.filter("cells", lambda x, i: i > 0), lambda x: x["l_quantity"])
+    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x, lambda a: F.try_divide(a, F.size(values)))
+    return grouped.select("l_orderkey", six(mean).alias("mean_rating")).where("mean_rating is not null")
+
+
+@query("""WITH e AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'x' || CAST(event_id AS VARCHAR) ELSE CAST(event_id AS VARCHAR) END AS raw FROM events)
+SELECT event_id, TRY_CAST(raw AS INTEGER) AS value, CASE WHEN TRY_CAST(raw AS INTEGER) IS NULL THEN raw END AS rejected FROM e""")
+def q26_rejects(spark, sf_dir):
+    raw = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("x"), F.col("event_id").cast("string"))).otherwise(F.col("event_id").cast("string"))
+    good, bad = clean.typed(table(spark, sf_dir, "events").select("event_id", raw.alias("value")), {"value": "int"})
+    return good.select("event_id", "value", F.lit(None).cast("string").alias("rejected")).unionByName(bad.select("event_id", F.lit(None).cast("int").alias("value"), F.col("value").alias("rejected")))
+
+
+# Evaluation and serving
+
+
+@query(f"{_LIVE} SELECT round(avg(CASE WHEN (pred > 0.5) = (score > 0.5) THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n FROM s WHERE score IS NOT NULL")
+def q27_accuracy(spark, sf_dir):
+    return evaluate.accuracy(_scored(spark, sf_dir), "pred", "score").select(six("accuracy").alias("accuracy"), "n")
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(spark, sf_dir).withColumn("score", score.live_score(F.col("score_1"), F.col("score_2"))).where("score is not null")
+
+
+@query(f"""{_LIVE}, m AS (SELECT unnest([0.0, 0.1, 0.15, 0.2]::DOUBLE[]) AS margin), j AS (SELECT margin, (pred > 0.5) = (score > 0.5) AS hit, margin = 0 OR pred > 0.5 + margin OR pred < 0.5 - margin AS inside FROM s, m WHERE score IS NOT NULL)
+SELECT margin, CAST(count(*) FILTER (inside) AS BIGINT) AS kept, round(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END) FILTER (inside), 6) AS accuracy, round(CAST(count(*) FILTER (inside) AS DOUBLE) / count(*), 6) AS coverage FROM j GROUP BY margin""")
+def q28_confidence_bands(spark, sf_dir):
+    return evaluate.bands(_scored(spark, sf_dir), "pred", "score").select("margin", "kept", six("accuracy").alias("accuracy"), six("coverage").alias("coverage"))
+
+
+@query(f"""{_LIVE}, b AS (SELECT l_orderkey % 50 AS batch, CASE WHEN pred > 0.5 THEN 1 ELSE 0 END AS a, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS y, abs(pred - score) AS e, pred > 0.5 + 0.1 OR pred < 0.5 - 0.1 AS inside FROM s WHERE score IS NOT NULL),
+g AS (SELECT batch, avg(CASE WHEN e <= 1 THEN 0.5 * e * e ELSE e - 0.5 END) AS loss, avg(CASE WHEN a = y THEN 1.0 ELSE 0.0 END) AS accuracy, coalesce(CAST(sum(a * y) AS DOUBLE) / nullif(sum(a), 0), 0) AS p, coalesce(CAST(sum(a * y) AS DOUBLE) / nullif(sum(y), 0), 0) AS r,
+  avg(CASE WHEN a = y THEN 1.0 ELSE 0.0 END) FILTER (inside) AS ba, count(*) FILTER (inside) AS kept, count(*) AS n FROM b GROUP BY batch)
+SELECT round(avg(loss), 6) AS loss, round(avg(accuracy), 6) AS accuracy, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, round(avg(ba), 6) AS band_accuracy, round(CAST(sum(kept) AS DOUBLE) / sum(n), 6) AS coverage, count(*) AS batches FROM g""")
+def q29_batch_metrics(spark, sf_dir):
+    m = _scored(spark, sf_dir).withColumn("batch", F.col("l_orderkey") % 50)
+    found = evaluate.batch_metrics(m, "pred", "score", "batch")
+    return found.select(*(six(c).alias(c) for c in found.columns[:-1]), "batches")
+
+
+_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {n}" for n in _NAMES))
+def q30_counts(spark, sf_dir):
+    return rows.append(*(table(spark, sf_dir, n).agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n") for n in _NAMES))
+
+
+_GRID = f"""{_LIVE}, g AS (SELECT l_suppkey % 6 AS depth, l_partkey % 4 AS fold, avg(CASE WHEN (pred > 0.5) = (score > 0.5) THEN 1.0 ELSE 0.0 END) AS a FROM s WHERE score IS NOT NULL GROUP BY 1, 2)"""
+
+
+@query(f"{_GRID} SELECT depth, round(avg(a), 6) AS score, count(*) AS folds FROM g GROUP BY depth")
+def q31_fold_means(spark, sf_dir):
+    return _grid(spark, sf_dir).select("depth", six("score").alias("score"), "folds")
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _scored(spark, sf_dir).withColumn("depth", F.col("l_suppkey") % 6).withColumn("fold", F.col("l_partkey") % 4)
+    return evaluate.grid_means(evaluate.accuracy(m, "pred", "score", ["depth", "fold"]), ["depth"], "accuracy")
+
+
+@query(f"""{_GRID}, f AS (SELECT depth, round(avg(a), 6) AS score FROM g GROUP BY depth)
+(SELECT 'highest' AS kind, depth, score FROM f WHERE score > 0 ORDER BY score DESC, depth LIMIT 1) UNION ALL (SELECT 'lowest', depth, score FROM f ORDER BY score, depth LIMIT 1)""")
+def q32_best_point(spark, sf_dir):
+    found = _grid(spark, sf_dir).select("depth", six("score").alias("score"))
+    pick = lambda kind, low: evaluate.best_points(found, "score", ["depth"], low).select(F.lit(kind).alias("kind"), "depth", "score")
+    return pick("highest", False).unionByName(pick("lowest", True))
+
+
+@query("""SELECT event_id, value FROM (SELECT event_id, user_id, value, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM events) WHERE value > coalesce(best, 0)""")
+def q32b_best_so_far(spark, sf_dir):
+    return evaluate.improvements(table(spark, sf_dir, "events"), "value", "event_id", ["user_id"]).select("event_id", "value")
+
+
+@query("""WITH p AS (SELECT *, CAST(o_orderkey % 97 AS DOUBLE) / CAST(97 AS DOUBLE) AS pred FROM orders)
+SELECT o_custkey, o_orderkey, round(pred, 6) AS pred FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY abs(pred - 0.5) DESC, o_orderkey) AS r FROM p) WHERE r = 1""")
+def q33_most_confident(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", ((F.col("o_orderkey") % 97).cast("double") / F.lit(97.0)).alias("pred"))
+    return evaluate.most_confident(orders, "pred", ["o_orderkey"], ["o_custkey"]).select("o_custkey", "o_orderkey", six("pred").alias("pred"))
+
+
+@query("""SELECT user_id, round(coalesce(avg(CASE WHEN user_id % 5 = 0 THEN NULL ELSE value END), 0.5), 6) AS mean, user_id % 5 = 0 AS unknown FROM events GROUP BY user_id""")
+def q34_mean_or_half(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", F.when(F.col("user_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("p"))
+    return evaluate.mean_or_half(events, "p", ["user_id"]).select("user_id", six("mean").alias("mean"), "unknown")
+
+
+@query(f"WITH {VIEW} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(pred * 100, 2) AS percent, round(pred, 3) AS rounded FROM matches_v")
+def q35_rounded(spark, sf_dir):
+    return matches(spark, sf_dir).select(*KEY, score.percent(F.col("pred")).alias("percent"), score.three(F.col("pred")).alias("rounded"))
+
+
+@query(f"""WITH {VIEW} SELECT l_orderkey, concat('Игра ', min('A' || CAST(l_orderkey AS VARCHAR)), ' vs ', min('B' || CAST(l_orderkey AS VARCHAR)), chr(10),
+  string_agg(concat(map, ': ', printf('%.2f', round(sqrt(pred) * 100, 2)), '%'), chr(10) ORDER BY seq), chr(10), 'Среднее: ', printf('%.2f', round(avg(sqrt(pred)) * 100, 2)), '%') AS message FROM numbered WHERE pred >= 0 GROUP BY l_orderkey""")
+def q36_messages(spark, sf_dir):
+    m = numbered(spark, sf_dir).withColumn("a", F.concat(F.lit("A"), F.col("l_orderkey").cast("string"))).withColumn("b", F.concat(F.lit("B"), F.col("l_orderkey").cast("string")))
+    m = m.withColumn("p", F.sqrt("pred"))  # no ties in rounding, which engines break in their own ways
+    return serve.messages(m, ["l_orderkey"], "a", "b", "map", "p", "seq").select("l_orderkey", "message")
+
+
+@query("""WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'm' || CAST(event_id AS VARCHAR) || '%' || CAST(user_id AS VARCHAR) WHEN event_id % 3 = 1 THEN 'update' || CAST(user_id AS VARCHAR) ELSE 'day' END AS token,
+  user_id FROM events)
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'match' WHEN 1 THEN 'update' ELSE 'other' END AS kind, CASE WHEN event_id % 3 = 0 THEN event_id END AS place, CASE WHEN event_id % 3 < 2 THEN CAST(user_id AS VARCHAR) END AS day FROM e""")
+def q37_callbacks(spark, sf_dir):
+    i, u = F.col("event_id"), F.col("user_id")
+    token = F.when(i % 3 == 0, text.call(i, u)).when(i % 3 == 1, F.concat(F.lit("update"), u.cast("string"))).otherwise("day")
+    kind, place, day = text.call_parts(F.col("token"))
+    return table(spark, sf_dir, "events").select("event_id", token.alias("token")).select("event_id", kind.alias("kind"), place.alias("place"), day.alias("day"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 9 = 0 THEN 0 ELSE CAST(s_suppkey AS INTEGER) END AS rank, CAST(s_suppkey % 101 AS INTEGER) AS ratio, CASE WHEN s_suppkey % 8 = 0 THEN 0 ELSE CAST(s_suppkey * 1234 AS INTEGER) END AS points, CAST(s_suppkey * 2500 AS INTEGER) AS prize FROM supplier""")
+def q38_cleaning(spark, sf_dir):
+    k = F.col("s_suppkey")
+    raw = table(spark, sf_dir, "supplier").select(
+        "s_suppkey",
+        F.when(k % 9 == 0, F.lit("Rank: ---")).otherwise(F.concat(F.lit("Rank: "), k.cast("string"), F.lit("."))).alias("rank"),
+        F.concat(F.lit("Wins: 34 ("), (k % 101).cast("string"), F.lit("%)")).alias("ratio"),
+        F.when(k % 8 == 0, F.lit("Points:---")).otherwise(F.concat(F.lit("Points: "), F.format_number(k * 1234, 0))).alias("points"),
+        F.concat(F.lit("Prize: "), F.format_number(k * 2500, 0), F.lit(" €")).alias("prize"),
+    )
+    return raw.select("s_suppkey", clean.rank(F.col("rank")).alias("rank"), clean.ratio(F.col("ratio")).alias("ratio"), clean.points(F.col("points")).alias("points"), clean.prize(F.col("prize")).alias("prize"))
+
+
+_LABELS = " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in text.DAYS.items())
+_ON = " ".join(f"WHEN '{k}' THEN '{v[1]}'" for k, v in text.DAYS.items())
+
+
+@query(f"""SELECT event_id, dayname(ts) AS weekday, strftime(ts, '%H:%M') AS clock, CASE dayname(ts) {_LABELS} END AS label, CASE dayname(ts) {_ON} END AS on_day, CAST(epoch_ms(epoch_ms(ts)) AS DATE) AS date, regexp_extract(event_type, '^(\\w+)', 1) AS word FROM events""")
+def q39_days(spark, sf_dir):
+    at = text.millis(F.unix_millis(F.col("ts").cast("timestamp")))
+    day = text.weekday(at)
+    return table(spark, sf_dir, "events").select("event_id", day.alias("weekday"), text.clock(at).alias("clock"), text.day_label(day).alias("label"), text.day_label(day, True).alias("on_day"), at.cast("date").alias("date"), text.leading_word(F.col("event_type")).alias("word"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS seq FROM orders WHERE o_orderstatus = 'F')
+SELECT seq, o_orderkey, lead(o_orderkey, 10) OVER (ORDER BY seq) AS aligned FROM o""")
+def q40_align(spark, sf_dir):
+    orders = ordering.with_seq(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey"), ["o_orderkey"])
+    other = orders.select((F.col("seq") - 10).alias("seq"), F.col("o_orderkey").alias("aligned"))
+    return orders.join(other, "seq", "left").select("seq", "o_orderkey", "aligned")
+
+
+# Encoders and models
+
+
+@query(f"""WITH {VIEW}, v AS (SELECT team_1, dense_rank() OVER (ORDER BY team_1) - 1 AS place FROM (SELECT DISTINCT team_1 FROM matches_v WHERE l_suppkey % 4 <> 0)), n AS (SELECT count(*) AS n FROM v)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(v.place AS DOUBLE) AS place, CAST((SELECT n FROM n) AS BIGINT) AS width, CASE WHEN v.place IS NULL THEN 0 ELSE 1 END AS ones FROM matches_v LEFT JOIN v USING (team_1)""")
+def q41_one_hot(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    hot = encode.one_hot(m.where("l_suppkey % 4 <> 0"), ["team_1"], "zeros").transform(m)
+    from pyspark.ml.functions import vector_to_array
+
+    dense = vector_to_array("team_1_hot")
+    place = F.array_position(dense, F.lit(1.0)) - 1
+    return hot.select(*KEY, F.when(place >= 0, place.cast("double")).alias("place"), F.size(dense).cast("bigint").alias("width"), (place >= 0).cast("int").alias("ones"))
+
+
+@query()
+def q42_centred_pca(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    hot = encode.multi_hot(encode.vocabulary(m, ["players"]), "players", "hot").transform(m)
+    return encode.CentredPCA.fit(hot, "hot", 50).transform(hot, "hot", "coordinates").select(*KEY, F.size("coordinates").alias("k"), six(F.aggregate("coordinates", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"))
+
+
+@query(f"""{_LIVE}, q AS (SELECT s.*, row_number() OVER (ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS seq FROM s WHERE score IS NOT NULL)
+SELECT seq, round((coalesce(sum(score) OVER w, 0) + 0.5) / (count(score) OVER w + 1), 6) AS team_1_mean FROM q WINDOW w AS (PARTITION BY team_1 ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def q43_target_statistics(spark, sf_dir):
+    m = ordering.with_seq(_scored(spark, sf_dir), ORDER)
+    return encode.target_statistics(m, "team_1", "score", "team_1_mean").select("seq", six("team_1_mean").alias("team_1_mean"))
+
+
+@query()
+def q44_boosted(spark, sf_dir):
+    m = ordering.with_seq(_scored(spark, sf_dir).withColumn("day", text.days_since(F.col("date"), "1995-01-01").cast("double")), ORDER)
+    parts = ordering.holdout(m, nested=True).withColumn("late", F.col("part") == "validation")
+    model = models.Booster(["day", "team_rank_1", "team_rank_2"], ["team_1", "team_2", "map"], "score", iterations=5, depth=3)
+    model.fit(parts.where("part <> 'test'"), validation="late")
+    return model.predict(parts.where("part = 'test'")).select("seq", "score", "p")
+
+
+@query()
+def q45_network(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").withColumn("y", F.col("label") / F.lit(9.0))
+    return network.predict(vectors, network.fit(vectors, "embedding", "y", ["vec_id"], scale=0.1, epochs=3, sample=20_000, batch=200), "embedding", ["vec_id"])
+
+
+@query(f"{_LIVE} SELECT round(avg(CASE WHEN abs(pred - score) <= 0.25 THEN 0.5 * (pred - score) * (pred - score) ELSE 0.25 * (abs(pred - score) - 0.125) END), 6) AS loss FROM s WHERE score IS NOT NULL")
+def q46_huber(spark, sf_dir):
+    return _scored(spark, sf_dir).agg(six(F.avg(score.huber(F.col("pred") - F.col("score"), 0.25))).alias("loss"))
+
+
+# The daily append
+
+
+@query("""WITH h AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_custkey, CAST(o_orderkey % 17 AS INTEGER) AS score_1, CAST(o_custkey % 17 AS INTEGER) AS score_2 FROM orders),
+old AS (SELECT * FROM h WHERE date < DATE '1998-09-01' OR o_orderkey % 2 = 0)
+SELECT date, count(*) AS n, CAST(sum(score_1) AS BIGINT) AS s FROM (SELECT * FROM old UNION ALL SELECT * FROM h WHERE date = DATE '1998-09-01' AND NOT (o_orderkey % 2 = 0)) GROUP BY date""")
+def q47_daily_append(spark, sf_dir):
+    from matchcast.streaming.incremental import append_day
+
+    every = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("team_1"), F.col("o_custkey").cast("string").alias("team_2"), F.lit("Nuke").alias("map"), F.to_date("o_orderdate").alias("date"), (F.col("o_orderkey") % 17).cast("int").alias("score_1"), (F.col("o_custkey") % 17).cast("int").alias("score_2"))
+    old = every.where((F.col("date") < "1998-09-01") | (F.col("team_1").cast("bigint") % 2 == 0))
+    old = old.withColumn("score", score.live_score(F.col("score_1"), F.col("score_2"))).withColumn("delta_time", F.datediff("date", F.lit("1995-01-01").cast("date")))
+    once = append_day(old, every, REF, "1995-01-01")
+    return append_day(once, every, REF, "1995-01-01").groupBy("date").agg(F.count("*").alias("n"), F.sum("score_1").alias("s"))
+
+
+@query("""SELECT event_id, CASE WHEN prior IS NOT NULL AND prior <> event_type THEN 1 ELSE 0 END AS gap, round(value, 3) AS rounded FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS prior FROM events)""")
+def q48_lines(spark, sf_dir):
+    return serve.lines(table(spark, sf_dir, "events"), "event_type", "value", "event_id", ["user_id"]).select("event_id", "gap", "rounded")
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'click' THEN concat('❌', event_type, ' - ', CAST(user_id AS VARCHAR)) ELSE concat(event_type, ' - ', CAST(user_id AS VARCHAR)) END AS label, concat('m', CAST(event_id AS VARCHAR), '%', CAST(user_id AS VARCHAR)) AS token FROM events")
+def q49_labels(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("unknown", F.col("event_type") == "click").withColumn("u", F.col("user_id").cast("string"))
+    return serve.labels(events, "event_type", "u", "unknown", "event_id", "user_id").select("event_id", "label", "token")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+__all__ = ["Window", "oracle_sql", "queries"]

@@ -1,0 +1,210 @@
+import datetime as dt
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from matchcast.operators import encode, evaluate, models, network, ordering, rows, serve
+from matchcast.plans import jobs
+from matchcast.schema import MAPS, TABLES, UPCOMING, conform
+from matchcast.sources import files, pages
+from matchcast.streaming import incremental
+
+
+def test_conform(spark):
+    got = conform(spark.createDataFrame([("x", 5)], "team_1 string, extra int"), UPCOMING)
+    assert got.columns == UPCOMING.fieldNames() and got.first()["team_1"] == "x" and got.first()["url"] is None
+    assert all(conform(spark.createDataFrame([], t), t).schema.simpleString() == t.simpleString() for t in TABLES.values())
+
+
+def test_csv_keeps_times_and_replaces_its_source(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.write_csv(spark.createDataFrame([("03:00", "bo3", "E", "null", "b", "u")], UPCOMING), path)
+    again = files.read_csv(spark, path, UPCOMING)
+    assert again.first()["time_of_the_match"] == "03:00" and again.first()["team_1"] == "null"
+    assert files.read_csv(spark, path, UPCOMING, files.NULL_TOKENS).first()["team_1"] is None
+    files.write_csv(again.union(again), path)
+    assert files.read_csv(spark, path, UPCOMING).count() == 2
+    files.write_csv(spark.createDataFrame([(["a", "b"], 2), (["c"], 1)], "x array<string>, y int"), str(tmp_path / "i"), index=True)
+    assert sorted(map(tuple, spark.read.option("header", True).csv(str(tmp_path / "i")).collect())) == [("0", "['a', 'b']", "2"), ("1", "['c']", "1")]
+
+
+def test_pages(spark):
+    assert pages.list_pages(spark, "p%d", 3, 4).orderBy("page").collect()[4].asDict() == {"pack": 1, "page": 5, "url": "p5"}
+    assert pages.offsets(spark, "o=", 200, 100, 79).count() == 3
+
+
+def test_seq_is_total_and_dense(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
+    got = sorted((r.seq, r.v) for r in ordering.with_seq(df, ["v"]).collect())
+    assert got == [(i + 1, i) for i in range(1000)]
+
+
+@pytest.mark.parametrize("n", [1, 14, 15, 100, 101])
+def test_holdout_sizes(spark, n):
+    got = {r.part: r["count"] for r in ordering.holdout(ordering.with_seq(spark.range(n), ["id"]), nested=True).groupBy("part").count().collect()}
+    test = ordering.share_rows(n)
+    assert sum(got.values()) == n and got["test"] == test and got.get("validation", 0) == ordering.share_rows(n - test)
+
+
+def test_folds_are_disjoint_and_full(spark):
+    df = ordering.with_seq(spark.range(12_000), ["id"])
+    got = ordering.rolling_folds(df).groupBy("fold", "part").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).collect()
+    for f in range(4):
+        own = {r.part: r for r in got if r.fold == f}
+        assert own["train"].n == 6000 and own["validation"].n == 500 and own["validation"].a == own["train"].b + 1
+
+
+def test_running_is_the_same_in_any_span(spark):
+    df = spark.range(1, 300).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("k"), (F.col("id") * 1.0).alias("v"))
+    one, two = (sorted(map(tuple, ordering.running(df, "k", F.col("v"), span=s).collect())) for s in (7, 10_000))
+    assert one == two and one[3][3] == 1 and one[3][4] == 1.0
+
+
+def test_mirror(spark):
+    df = spark.createDataFrame([(1, "a", "b", 1), (2, "c", "d", 0)], "k int, x string, y string, f int")
+    got = sorted(map(tuple, rows.mirror(df, [("x", "y")], ("f",)).collect()))
+    assert got == [(0, 1, "a", "b", 1), (0, 2, "c", "d", 0), (1, 1, "b", "a", 0), (1, 2, "d", "c", 1)]
+
+
+def test_list_filters_and_pool(spark):
+    df = spark.createDataFrame([(1, []), (2, [""]), (3, ["a"]), (4, ["a", "b"]), (5, ["a", "a"]), (6, None)], "k int, x array<string>")
+    assert sorted(r.k for r in rows.with_first(df, "x").collect()) == [3, 4, 5]
+    assert [r.k for r in rows.decided(df, "x").collect()] == [4]
+    maps = spark.createDataFrame([(1, ["TBA", "Nuke"]), (2, ["Nuke"]), (3, [])], "k int, x array<string>")
+    assert sorted(r.k for r in rows.expand_maps(maps, "x").collect()) == [1] * 7 + [2]
+
+
+def test_frequent_at_the_border(spark):
+    df = spark.createDataFrame([("a",)] * 9 + [("b",)] * 10, "t string")
+    assert rows.frequent(df, "t").count() == 10
+
+
+def test_bands_without_rows(spark):
+    got = evaluate.bands(spark.createDataFrame([(0.5, 1.0), (0.55, 0.0)], "p double, y double"), "p", "y").collect()
+    assert got[0].coverage == 1.0 and got[1].accuracy is None and got[1].kept == 0
+
+
+def test_best_and_first(spark):
+    df = spark.createDataFrame([(1, 1, 0.4), (1, 2, 0.6), (1, 3, 0.5), (2, 4, 0.5)], "g int, s int, p double")
+    assert {r.g: r.s for r in evaluate.most_confident(df, "p", ["s"], ["g"]).collect()} == {1: 1, 2: 4}
+    zero = spark.createDataFrame([(1, 0.0), (2, 0.0)], "s int, v double")
+    assert evaluate.best_points(zero, "v", ["s"]).count() == 0 and evaluate.best_points(zero, "v", ["s"], lowest=True).first().s == 1
+    assert models.best([({"a": 1}, 0.0)]) == (None, 0.0) and models.best([({"a": 1}, 0.4), ({"a": 2}, 0.4)])[0] == {"a": 1}
+
+
+def test_mean_or_half(spark):
+    df = spark.createDataFrame([(1, float("nan")), (1, 0.8), (2, None), (2, float("nan"))], "g int, p double")
+    assert {r.g: (r["mean"], r.unknown) for r in evaluate.mean_or_half(df, "p", ["g"]).collect()} == {1: (0.8, False), 2: (0.5, True)}
+
+
+def test_unknown_is_zeros(spark):
+    fit, new = spark.createDataFrame([("b",), ("a",)], "t string"), spark.createDataFrame([("a",), ("z",)], "t string")
+    got = [r.t_hot.toArray().tolist() for r in encode.one_hot(fit, ["t"], "zeros").transform(new).collect()]
+    assert got == [[1.0, 0.0], [0.0, 0.0]]
+    with pytest.raises(Exception):
+        encode.one_hot(fit, ["t"]).transform(new).collect()
+
+
+def test_z_score_is_of_the_population(spark):
+    got = [r.z for r in encode.z_score(spark.createDataFrame([(1.0,), (3.0,)], "x double"), "x", "z").collect()]
+    assert sorted(got) == [-1.0, 1.0]
+    assert encode.z_score(spark.createDataFrame([(2.0,)], "x double"), "x", "z").first().z == 0.0
+
+
+def test_centred_pca_equals_numpy(spark):
+    random = np.random.default_rng(1)
+    x = (random.random((60, 8)) < 0.3) * random.random((60, 8)) * np.arange(1, 9)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "i int, a array<double>").withColumn("v", encode.to_vector(F.col("a")))
+    model = encode.CentredPCA.fit(df, "v", 3)
+    got = np.array([r.c for r in model.transform(df, "v", "c").orderBy("i").collect()])
+    centred = x - x.mean(0)
+    u, s, vt = np.linalg.svd(centred, full_matrices=False)
+    want = centred @ vt[:3].T
+    assert np.allclose(np.abs(got), np.abs(want), atol=1e-8) and np.allclose(got.mean(0), 0, atol=1e-9)
+    assert np.allclose(model.explained, (s**2 / (s**2).sum())[:3])
+
+
+def test_booster_learns_keeps_and_loads(spark, tmp_path):
+    df = ordering.with_seq(spark.range(600).select("id", (F.col("id") % 3).cast("string").alias("team"), (F.col("id") % 7).cast("double").alias("x"), F.when(F.col("id") % 3 == 0, 0.9).otherwise(0.1).alias("y")), ["id"])
+    model = models.Booster(["x"], ["team"], "y", iterations=5, depth=2).fit(df)
+    scored = model.predict(df)
+    assert evaluate.accuracy(scored, "p", "y").first().accuracy > 0.97 and scored.columns == [*df.columns, "p"]
+    model.save(str(tmp_path / "m"))
+    again = models.Booster(["x"], ["team"], "y").load(spark, str(tmp_path / "m"))
+    a, b = ({r.id: r.p for r in m.predict(df).select("id", "p").collect()} for m in (model, again))
+    assert a == b
+    sure = models.Booster(["x"], ["team"], "won", classifier=True, iterations=3, depth=2).fit(df.withColumn("won", (F.col("y") > 0.5).cast("double")))
+    assert all(0 <= r.p <= 1 for r in sure.predict(df).select("p").collect())
+    assert len(models.grid({"a": [1, 2], "b": [3, 4, 5]})) == 6
+
+
+def test_search_over_folds(spark):
+    df = ordering.with_seq(spark.range(200).select("id", (F.col("id") % 2).cast("string").alias("team"), (F.col("id") % 5).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y")), ["id"])
+    folds = ordering.rolling_folds(df, folds=2, train=100, validation=20, step=30)
+    found = models.search(folds, lambda **p: models.Booster(["x"], ["team"], "y", iterations=2, **p), [{"depth": 1}, {"depth": 2}], "y")
+    assert len(found) == 2 and models.best(found)[1] > 0.9
+
+
+def test_network_gradients_and_training(spark):
+    net = network.Network(3, scale=0.01, dropout=0.0)
+    random = np.random.default_rng(2)
+    x, y = random.random((16, 3)), random.random(16)
+    p, kept = net.forward(x, np.random.default_rng(0))
+    slope = (p - y) / len(y)
+    grads = net.backward(kept, slope)
+    for name in ("in.w", "100_2.w", "50_3.b", "out.w"):
+        at = tuple(0 for _ in net.weights[name].shape)
+        values = []
+        for step in (1e-6, -2e-6):
+            net.weights[name][at] += step
+            q, _ = net.forward(x, np.random.default_rng(0))
+            values.append(0.5 * ((q - y) ** 2).mean())
+        net.weights[name][at] += 1e-6
+        assert math.isclose((values[0] - values[1]) / 2e-6, grads[name][at], rel_tol=1e-3, abs_tol=1e-7)
+    df = spark.createDataFrame([(i, [float(v) for v in r], float(r[0])) for i, r in enumerate(random.random((300, 3)))] + [(999, None, None)], "i int, x array<double>, y double")
+    net = network.fit(df, "x", "y", ["i"], scale=0.05, epochs=5, batch=50)
+    got = {r.i: r.p for r in network.predict(df, net, "x", ["i"]).collect()}
+    assert got[999] is None and len(got) == 301
+    losses = net.train(random.random((400, 3)), np.full(400, 0.5), epochs=12, batch=50)
+    assert losses[-1] < losses[0]
+
+
+def test_messages_and_places(spark):
+    df = spark.createDataFrame([(1, 1, "A", "B", "Nuke", 0.25), (1, 2, "A", "B", "Dust2", 0.5)], "m int, s int, a string, b string, map string, p double")
+    got = serve.messages(df, ["m"], "a", "b", "map", "p", "s").first()
+    assert got.message == "Игра A vs B\nNuke: 25.00%\nDust2: 50.00%\nСреднее: 37.50%"
+    assert serve.at_place(ordering.with_seq(spark.range(5), ["id"]), 3).first().id == 3
+
+
+def _day(spark):
+    return spark.createDataFrame([(dt.date(2021, 11, 3), "a", "b", 16, 14, "Nuke"), (dt.date(2021, 11, 3), "a", "b", 16, 14, "Nuke"), (dt.date(2021, 11, 2), "c", "d", 1, 16, "Nuke")], "date date, team_1 string, team_2 string, score_1 int, score_2 int, map string")
+
+
+def test_append_is_idempotent(spark):
+    empty = spark.createDataFrame([], MAPS)
+    once = incremental.append_day(empty, _day(spark), "2021-11-04", "2021-11-01")
+    twice = incremental.append_day(once, _day(spark), "2021-11-04", "2021-11-01")
+    assert once.count() == twice.count() == 1 and once.first().delta_time == 2 and math.isclose(once.first().score, 0.5356537, rel_tol=1e-6)
+
+
+def test_stream_takes_each_file_once(spark, tmp_path):
+    source, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    _day(spark).write.parquet(source)
+    for _ in range(2):
+        incremental.stream_files(spark, source, target, state, _day(spark).schema, "2021-11-01")
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_nightly(spark, tmp_path):
+    days = [(dt.date(2021, 10, 1 + i % 28), f"t{i % 4}", f"t{(i + 1) % 4}", i % 17, 16, "Nuke", i) for i in range(120)]
+    new = spark.createDataFrame(days, "date date, team_1 string, team_2 string, score_1 int, score_2 int, map string, i int").drop("i")
+    history = incremental.append_day(spark.createDataFrame([], MAPS), new.withColumn("date", F.lit(dt.date(2021, 10, 5))), "2021-10-06", "2021-10-01")
+    model = jobs.nightly(spark, history.drop("right_pick"), new, "2021-10-10", "2021-10-01", str(tmp_path), iterations=2, depth=2)
+    assert model.model is not None and spark.read.parquet(str(tmp_path / "history")).count() >= history.count()
+
+
+def test_whole_numbers_of_origin(spark):
+    df = spark.createDataFrame([(2, dt.date(2020, 1, 1)), (1, dt.date(2021, 1, 1))], "s int, d date")
+    assert rows.origin_date(df, "d", ["s"]).first().origin == dt.date(2021, 1, 1)
