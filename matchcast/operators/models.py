@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from matchcast.operators.encode import assemble, full_statistics, target_statistics
 from matchcast.operators.evaluate import accuracy
+from matchcast.shared import cut
 
 #: Categorical columns of the played maps, and the grids that are searched.
 CATEGORICAL = ["team_1", "team_2", *(f"player{i}_team{s}" for s in (1, 2) for i in range(1, 6)), "map", "team_rank_1", "team_rank_2"]
@@ -35,8 +36,9 @@ class Booster:
         """``validation`` names a boolean column: rounds stop where its rows no longer gain."""
         train = rows
         for c in self.categorical:
-            train = target_statistics(train, c, self.target, f"{c}_mean", self.prior, seq=seq)
-            self.statistics[c] = full_statistics(rows, c, self.target, self.prior)
+            # each is cut from its lineage: one column's statistics join the rows with their own sums, and plans would double
+            train = cut(target_statistics(train, c, self.target, f"{c}_mean", self.prior, seq=seq))
+            self.statistics[c] = cut(full_statistics(rows, c, self.target, self.prior))
         learner = self.learner
         if validation:
             learner = learner.copy().setValidationIndicatorCol(validation)
