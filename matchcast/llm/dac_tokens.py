@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from matchcast.llm.shared import BROADCAST_BYTES
+from matchcast.shared import BROADCAST_BYTES, bounded
 from matchcast.llm.vec import ragged, span_hashes
 
 
@@ -262,7 +262,7 @@ def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
         if parts:
             yield close()
 
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).cast("string").alias("t")).repartitionByRange(n, "k").sortWithinPartitions("k")
     ordered.select("k", "t", F.spark_partition_id().alias("p")).mapInArrow(run, SHARDS).write.parquet(folder)
@@ -273,7 +273,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
     The counts of the writer's partitions, a row each, are summed up to give every partition its offset, and go to the shards in a
     join; the shards themselves stay where they are read."""
-    spark = shards.sparkSession
+    spark = bounded(shards).sparkSession
     totals = sorted((r["partition"], r["n"]) for r in shards.groupBy("partition").agg(F.sum("n_tokens").alias("n")).collect())
     before, offsets = 0, []
     for p, n in totals:

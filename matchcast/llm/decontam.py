@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from matchcast.shared import bounded
 from matchcast.llm.vec import ALNUM, LOWER, U64, chunks, shingles, span_hashes, utf8, words
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 19
@@ -109,7 +110,7 @@ class Items:
     def weights(self, hashes: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.known, hashes)
         at = np.minimum(at, len(self.known) - 1)
-        return np.where(self.known[at] == hashes, self.weight[at], self.default).astype(np.float32)
+        return np.where(self.known[at] == hashes, self.weight[at], self.default)
 
     def best(self, hashes: np.ndarray, place: np.ndarray, k: int) -> list[tuple[int, float, int, int]]:
         """(item, similarity, first shingle, count of shingles) of the best window of each item of one document, whose shingles of
@@ -218,7 +219,7 @@ SCHEMA = "doc_id bigint, item_id bigint, similarity double, start int, end int"
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", most: int = ITEM_BYTES) -> DataFrame:
     """One row per document and item that it holds: the similarity and place of the best window."""
     blocks, weigh, default = blocks_of(benchmark, item_text, item_key, most)
-    source = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    source = bounded(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     if not blocks:
         return source.sparkSession.createDataFrame([], SCHEMA)
 
@@ -259,4 +260,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text:
 
         return frame.mapInArrow(run, frame.schema)
 
-    return reduce(lambda frame, b: without(frame, b[1]), blocks, docs)
+    return reduce(lambda frame, b: without(frame, b[1]), blocks, bounded(docs))

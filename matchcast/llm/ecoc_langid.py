@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from matchcast.shared import bounded
 from matchcast.llm.vec import chunks, utf8
 
 #: Hashed n-grams of three bytes; most languages for which every split is a bit; smoothing; scale of margins; least lead.
@@ -68,7 +69,7 @@ def counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))], ["lang", "gram", "n"])
 
-    rows = docs.select(F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
+    rows = bounded(docs).select(F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
     return rows.mapInArrow(run, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -154,6 +155,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
                 picked = batch.slice(a, n)
                 yield pa.RecordBatch.from_arrays([*picked.columns[:-1], names.take(pa.array(best)), pa.array(score), pa.array((lead < LEAD) & (best < len(model.langs)))], [*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"])
 
-    chosen = docs.select(*keep, F.col(text).cast("string").alias("_text"))
+    chosen = bounded(docs).select(*keep, F.col(text).cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1]) + ", lang_pred string, score double, ambiguous boolean"
     return chosen.mapInArrow(run, schema)

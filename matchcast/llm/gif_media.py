@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from matchcast.shared import bounded
+
 #: Samples in a row, most rows of a frame, hundredths of a second that each frame is shown, bins of a histogram.
 WIDTH, ROWS, DELAY, BINS = 192, 64, 4, 16
 GREYS = bytes(c for i in range(256) for c in (i, i, i))
@@ -286,7 +288,7 @@ def store(docs: DataFrame, text: str = "text", key: str = "doc_id", content: boo
                     names.append("media")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, SCHEMA + (", media binary" if content else ""))
+    return bounded(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, SCHEMA + (", media binary" if content else ""))
 
 
 FRAMES = "doc_id bigint, frame int, start_ms bigint, delay_ms bigint, left int, top int, width int, height int, disposal int, histogram array<bigint>, canvas binary"
@@ -311,4 +313,4 @@ def frames(media: DataFrame, column: str = "media", key: str = "doc_id") -> Data
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-    return media.select(F.col(key).cast("bigint").alias("doc_id"), F.col(column).cast("binary").alias("media")).mapInArrow(run, FRAMES)
+    return bounded(media).select(F.col(key).cast("bigint").alias("doc_id"), F.col(column).cast("binary").alias("media")).mapInArrow(run, FRAMES)

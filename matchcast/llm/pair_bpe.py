@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from matchcast.shared import bounded
+
 #: Bytes of text whose words are in memory at once, and words that the cache may hold.
 CHUNK_BYTES, CACHE_WORDS = 4 << 20, 250_000
 
@@ -274,4 +276,4 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_i
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, SCHEMA + (", ids array<int>, decoded string" if content else ""))
+    return bounded(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, SCHEMA + (", ids array<int>, decoded string" if content else ""))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from matchcast.llm.shared import BROADCAST_BYTES
+from matchcast.shared import BROADCAST_BYTES, bounded
 from matchcast.llm.vec import SPACE, chunks, span_hashes, utf8, words
 
 #: Hashed n-grams of three bytes; most rows that the hinge-loss model is fit on; smoothing of counts; cost of errors; passes;
@@ -142,7 +142,7 @@ class Model:
 def joined(docs: DataFrame, labels: DataFrame, text: str, key: str) -> DataFrame:
     """(y, text) of labelled rows. Labels are sent to all executors only where their count shows that they are small."""
     small = labels.count() * 16 <= BROADCAST_BYTES
-    return docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text")).join(F.broadcast(labels) if small else labels, "_key").select("y", "text")
+    return bounded(docs).select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text")).join(F.broadcast(labels) if small else labels, "_key").select("y", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
@@ -199,14 +199,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
             found = [own.scores(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in parts(offsets)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(found) if found else np.zeros(0))], [*batch.schema.names[:-1], "score"])
 
-    chosen = docs.select(*keep, F.col(text).cast("string").alias("_text"))
+    chosen = bounded(docs).select(*keep, F.col(text).cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1]) + ", score double"
     return chosen.mapInArrow(run, schema)
 
 
 def select(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
     """The documents that score ``least`` or more; all columns stay."""
-    sent, column = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+    sent, column = bounded(docs).sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value

@@ -78,7 +78,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchcast.llm import dac_tokens
-    from matchcast.llm.shared import fresh_dir
+    from matchcast.shared import fresh_dir
 
     folder = fresh_dir(spark, "tokens")
     dac_tokens.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), folder)

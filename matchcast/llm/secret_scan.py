@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchcast.llm.shared import BROADCAST_BYTES, cut
+from matchcast.shared import BROADCAST_BYTES, cut
 
 #: The base kinds and patterns, the least length of the value, and where the value stands.
 BASE = (

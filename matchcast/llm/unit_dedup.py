@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from matchcast.shared import bounded
 from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, powers, span_hashes, utf8, words
 
 LINE_WORDS, SENTENCE_WORDS = 3, 5
@@ -76,7 +77,7 @@ def unit_rows(docs: DataFrame, places: bool, line_words: int, sentence_words: in
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in chunks(offsets, 2 << 20):
+            for a, b in chunks(offsets):
                 part = data[offsets[a] : offsets[b]]
                 own = offsets[a : b + 1] - offsets[a]
                 u = units(part, own, line_words, sentence_words)
@@ -93,7 +94,7 @@ def unit_rows(docs: DataFrame, places: bool, line_words: int, sentence_words: in
 
 def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS) -> DataFrame:
     """Every unit to remove: doc_id, level, start, end, kept_doc_id."""
-    source = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    source = bounded(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("string").alias("text"))
     groups = unit_rows(source, False, line_words, sentence_words).groupBy("h1", "h2").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n"))
     many = groups.where("n > 1").select("h1", "h2", "kept")
     gone = unit_rows(source, True, line_words, sentence_words).join(many, ["h1", "h2"]).where("doc_id > kept or not fresh")

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from matchcast.shared import bounded
 from matchcast.llm.vec import chunks, utf8
 
 
@@ -152,7 +153,7 @@ def judge(pages: DataFrame, url: str = "url", key: str = "page_id", host_rules:
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], names.take(best), verdicts.take(best)], ["page_id", "host", "path", "rule", "verdict"])
 
     host, path = canonical(F.col(url).cast("string"))
-    parts = pages.select(F.col(key).cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"))
+    parts = bounded(pages).select(F.col(key).cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"))
     return parts.select("*", F.concat("host", "path").alias("whole")).mapInArrow(run, "page_id bigint, host string, path string, rule string, verdict string")
 
 

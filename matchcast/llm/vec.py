@@ -38,7 +38,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def chunks(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def chunks(offsets: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about so many bytes each; a longer row stands alone."""
     i, n = 0, len(offsets) - 1
     while i < n:
