@@ -1,16 +1,18 @@
 """N-gram Jaccard self-join by signature trees.
 
-Two documents whose sets of word shingles have a Jaccard similarity of ``num / den`` or more share one of the first tokens of both
-sets, in any common order (a set of n tokens needs its first n - ceil(n num / den) + 1). So documents meet in a block for every such
-token. Tokens that stand in many documents come last in the order, and so in few blocks; this changes cost, not results.
+Two documents whose sets of word shingles have a Jaccard similarity of ``num / den`` or more share m of the first tokens of both sets,
+in any common order (a set of n tokens needs its first n - ceil(n num / den) + m). So documents meet in a block for every such token,
+and one that has fewer than m tokens in common with any others has no link. Tokens that stand in many documents come last in the order, and so in few blocks; this changes cost, not results.
 
 In a block, documents are the leaves of a signature tree. Its nodes hold the OR of their documents' token bitmaps, the range of set
 sizes, and the most tokens that bits may hide; a dual traversal descends only into pairs of nodes whose greatest possible overlap
-suffices, and compares the documents' own, longer bitmaps at the leaves. Pairs that are left are verified by their exact sets.
+suffices, and compares the documents' own, longer bitmaps at the leaves. Pairs that are left may be links; what a block gives is not
+those pairs but which documents they join, a row per document, and all blocks together give families that no link leaves.
 
-Round 1 takes the first tokens alone and, of each block, links that may span its groups. Round 2 takes all blocks whose documents are
-not of one component by then, and every pair in them between different components, so that no link is lost. Equal sets are one
-node throughout. Blocks of more than ``BLOCK`` nodes are dealt into parts, and in round 2 every two parts meet.
+Two rounds find the families: one over the blocks of the first tokens alone, and one over all blocks, of which those within a family
+are passed over. Each family then is one more signature tree, over the exact sets: its pairs are verified by bitmaps of the tokens
+that the family's documents share, whose common bits are the overlap. Equal sets are one node throughout. Blocks and families of more
+than ``BLOCK`` nodes are dealt into parts of which every two meet, so none is gathered in one task.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; a text with fewer words than a
 shingle is one shingle; rows that share a doc_id are rows of their own; null doc_ids link like others and are nobody's least; texts of
@@ -26,14 +28,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from matchcast.llm.components import components
-from matchcast.llm.shared import BROADCAST_BYTES, cut
+from matchcast.shared import BROADCAST_BYTES, bounded, cut
 from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, ragged, shingles, span_hashes, utf8, words
 
-#: Tokens of round 1; most nodes of a block's part; children of a tree's node; bits of its bitmap; bits of a leaf's bitmap per token
-#: and at most; leaders of a large block in round 1.
-FIRST, BLOCK, FAN, NODE_BITS, LEAF_BITS, MOST_BITS, LEADERS = 4, 4096, 16, 256, 4, 1 << 16, 64
-#: A token in this share of the documents of a chunk is counted as frequent; at most so many are put last.
-SHARE, FREQUENT = 0.01, 1 << 16
+#: Tokens of round 1; most nodes of a block's part; children of a tree's node; bits of its bitmap; bits of a leaf's bitmap per token,
+#: in blocks and in families, and at most.
+FIRST, BLOCK, FAN, NODE_BITS, LEAF_BITS, FAMILY_BITS, MOST_BITS = 4, 4096, 16, 256, 1, 4, 1 << 16
+#: A set of n tokens has to share 1 + n // MORE of its first tokens.
+MORE = 50
+#: Tokens and nodes of a family's part at most; nodes of a family whose pairs are verified by bitmaps, and bytes of these at most.
+PART_TOKENS, PART_NODES, DENSE, DENSE_BYTES = 1 << 20, 8192, 32, 32 << 20
+#: A token that ``OFTEN`` of ``COUNTED`` documents in a row have among their first is counted as frequent; at most so many are put
+#: last, and each is dealt over so many tasks.
+COUNTED, OFTEN, FREQUENT, SALTS = 10_000, 2, 1 << 18, 64
+#: Rows of one token that are held to see whether it is shared; a token of more is.
+HELD = 1 << 20
 NONE = -(1 << 63)
 
 
@@ -52,78 +61,146 @@ def sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return hashes[fresh], np.searchsorted(of[fresh], np.arange(n + 1))
 
 
-def digests(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each set."""
+def digests(values: np.ndarray, bounds: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each set; the first half names its node."""
     out = []
-    for salt in (U64(0xA4093822299F31D0), U64(0x082EFA98EC4E6C89)):
-        total = np.r_[U64(0), np.cumsum(mix(values ^ salt))]
+    for own in (U64(0xA4093822299F31D0), U64(0x082EFA98EC4E6C89)):
+        total = np.r_[U64(0), np.cumsum(mix(values ^ mix(np.array([salt], U64) + own)))]
         out.append(mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(U64)).view(np.int64))
     return out[0], out[1]
 
 
-def signature(values: np.ndarray) -> bytes:
+def signature(values: np.ndarray, per: int = LEAF_BITS) -> bytes:
     """The bitmap of a set, of as many bits as suit its size."""
-    width = leaf_bits(len(values))
+    width = leaf_bits(len(values), per)
     bits = np.zeros(width, np.uint8)
     bits[(values >> U64(17) & U64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def leaf_bits(n: int) -> int:
-    return min(max(NODE_BITS, 1 << (LEAF_BITS * n - 1).bit_length()), MOST_BITS)
+def leaf_bits(n: int, per: int) -> int:
+    return min(max(NODE_BITS, 1 << (per * n - 1).bit_length()), MOST_BITS)
 
 
-def profile(docs: DataFrame, k: int) -> DataFrame:
-    """kind 0: doc_id, n, d1, d2 of each row; kind 1: token (d1) and the count (n) of rows with it, where it is frequent."""
+def taken(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """How many first tokens of sets of such sizes are looked at."""
+    least = -(-n * num // den)
+    return n - least + np.minimum(1 + n // MORE, least)
+
+
+def profile(docs: DataFrame, k: int, num: int, den: int, salt: int) -> DataFrame:
+    """kind 0: doc_id, n, node and the other half of the digest of each row; kind 1: token (as node) and the count (n) of rows with it,
+    where it is frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc_id", "n", "d1", "d2"]
+        names = ["kind", "doc_id", "n", "nid", "rest"]
+
+        def frequent(parts: list[np.ndarray]) -> pa.RecordBatch:
+            token, count = np.unique(np.concatenate(parts), return_counts=True)
+            token, count = token[count >= OFTEN], count[count >= OFTEN]
+            m = len(token)
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int8)), pa.nulls(m, pa.int64()), pa.array(count), pa.array(token.view(np.int64)), pa.array(np.zeros(m, np.int64))], names)
+
+        recent: list[np.ndarray] = []
+        seen = 0
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for a, b in chunks(offsets, 4 << 20):
+            for a, b in chunks(offsets):
                 values, bounds = sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k)
-                d1, d2 = digests(values, bounds)
+                nid, rest = digests(values, bounds, salt)
                 n = b - a
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int8)), batch.column(0).slice(a, n), pa.array(np.diff(bounds)), pa.array(d1), pa.array(d2)], names)
-                token, count = np.unique(values, return_counts=True)
-                often = count >= max(8, SHARE * n)
-                if often.any():
-                    m = int(often.sum())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int8)), pa.nulls(m, pa.int64()), pa.array(count[often]), pa.array(token[often].view(np.int64)), pa.array(np.zeros(m, np.int64))], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int8)), batch.column(0).slice(a, n), pa.array(np.diff(bounds)), pa.array(nid), pa.array(rest)], names)
+                front = np.minimum(taken(np.diff(bounds), num, den), np.diff(bounds))
+                recent.append(values[np.repeat(bounds[:-1], front) + ragged(front)])
+                seen += n
+                if seen >= COUNTED:
+                    yield frequent(recent)
+                    recent, seen = [], 0
+        if seen:
+            yield frequent(recent)
+
+    return docs.mapInArrow(run, "kind tinyint, doc_id bigint, n bigint, nid bigint, rest bigint")
 
-    return docs.mapInArrow(run, "kind tinyint, doc_id bigint, n bigint, d1 bigint, d2 bigint")
 
+def prefixes(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, salt: int) -> DataFrame:
+    """node, n, its first tokens in the common order (those that are frequent apart), and bitmap, of each row with a set."""
 
-def prefixes(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n, digest, first tokens in the common order, and bitmap of each row with a set."""
+    def lists(parts: list[np.ndarray]) -> pa.ListArray:
+        ends = np.r_[0, np.cumsum([*map(len, parts)])].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
+            data, offsets = utf8(batch.column(0))
             for a, b in chunks(offsets):
                 values, bounds = sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k)
                 n = np.diff(bounds)
                 rows = np.flatnonzero(n)
                 if not len(rows):
                     continue
-                d1, d2 = digests(values, bounds)
-                take = n - -(-n * num // den) + 1
+                nid, _ = digests(values, bounds, salt)
+                take = taken(n, num, den)
                 late = np.zeros(len(values), bool)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
                     late = frequent[at] == values
-                firsts, prints = [], []
+                first, second, prints = [], [], []
                 for r in rows.tolist():
                     own, back = values[bounds[r] : bounds[r + 1]], late[bounds[r] : bounds[r + 1]]
                     prints.append(signature(own))
-                    if back.any():
-                        own = np.r_[own[~back], own[back]]
-                    firsts.append(own[: take[r]])
-                ends = np.r_[0, np.cumsum(take[rows])].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(a + rows)), pa.array(n[rows]), pa.array(d1[rows]), pa.array(d2[rows]), lists, pa.array(prints, pa.binary())], ["doc_id", "n", "d1", "d2", "first", "sig"])
+                    front = own[~back] if back.any() else own
+                    first.append(front[: take[r]])
+                    second.append(own[back][: max(0, take[r] - len(front))])
+                yield pa.RecordBatch.from_arrays([pa.array(nid[rows]), pa.array(n[rows]), lists(first), lists(second), pa.array(prints, pa.binary())], ["nid", "n", "first", "late", "sig"])
+
+    return docs.select("text").mapInArrow(run, "nid bigint, n bigint, first array<bigint>, late array<bigint>, sig binary")
+
+
+def shared(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """Of rows (token, salt, n, nid, comp) those that may have a partner: another component has the token too, and a set next in size
+    is near enough. One exchange of the tokens brings them together; rows of a frequent token, dealt by a salt, all stay."""
+
+    def kept(t: np.ndarray) -> np.ndarray:
+        token, salt, n, nid, comp = t
+        m = len(token)
+        same = np.r_[False, token[1:] == token[:-1]]
+        fresh = ~(same & np.r_[False, nid[1:] == nid[:-1]])
+        at = np.flatnonzero(fresh)
+        token, salt, n, nid, comp = (x[at] for x in t)
+        m = len(at)
+        start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, m]))
+        mixed = (np.minimum.reduceat(comp, start) != np.maximum.reduceat(comp, start))[group]
+        near = np.zeros(m, bool)
+        if m > 1:
+            pair = (token[1:] == token[:-1]) & (n[:-1] * den >= n[1:] * num)
+            near[1:] |= pair
+            near[:-1] |= pair
+        return at[(salt >= 0) | mixed & near]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["token", "n", "nid", "comp"]
+        held = np.zeros((5, 0), np.int64)
+
+        def out(t: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(t[i][at]) for i in (0, 2, 3, 4)], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+            last = int(np.searchsorted(held[0], held[0, -1], "left"))
+            if last:
+                yield out(held[:, :last], kept(held[:, :last]))
+                held = held[:, last:]
+            elif held.shape[1] > HELD:
+                yield out(held, np.arange(held.shape[1]))
+                held = held[:, :0]
+        if held.shape[1]:
+            yield out(held, kept(held))
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, first array<bigint>, sig binary")
+    dealt = entries.repartition(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token", "salt").sortWithinPartitions("token", "n", "nid")
+    return dealt.select("token", "salt", "n", "nid", "comp").mapInArrow(run, "token bigint, n bigint, nid bigint, comp bigint")
 
 
 class Leaves:
@@ -232,178 +309,265 @@ class Tree:
                             yield a[good], b[good]
 
 
-def block_pairs(blocks: DataFrame, num: int, den: int, every: bool) -> DataFrame:
-    """Pairs (a, b) of nodes that may be linked, from rows (block keys, nid, n, comp, side, sig) that are sorted by block.
+class Labels:
+    """Groups of documents that pairs join, by the least of each."""
 
-    Without ``every``, each node gets at most one pair in a block, with one before it."""
+    def __init__(self, start: np.ndarray):
+        self.of = start.copy()
 
-    def found(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(rows)
-        key = np.stack([table[c].to_numpy() for c in ("token", "p", "q")])
-        nid = table["nid"].to_numpy()
-        bounds = np.r_[0, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, len(nid)]
-        many = np.repeat(np.diff(bounds) > 1, np.diff(bounds))
-        if not many.any():
-            return
-        at = np.flatnonzero(many)
-        bounds = np.r_[0, np.cumsum(np.diff(bounds)[np.diff(bounds) > 1])]
-        nid = nid[at]
-        take = table.take(pa.array(at))
-        comp = take["comp"].to_numpy() if every else nid
-        leaves = Leaves(take["n"].to_numpy(), comp, take["side"].to_numpy(), take["sig"].combine_chunks().to_pylist(), num, den)
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        large = np.flatnonzero(np.diff(bounds) > 512) if not every else np.zeros(0, np.int64)
-        for g in large.tolist():
-            out += leaders(leaves, int(bounds[g]), int(bounds[g + 1]))
-        small = np.setdiff1d(np.arange(len(bounds) - 1), large)
-        if len(small):
-            if len(large):
-                keep = np.concatenate([np.arange(bounds[g], bounds[g + 1]) for g in small.tolist()])
-                part = Leaves(leaves.n[keep], leaves.comp[keep], leaves.side[keep], [take["sig"][int(i)].as_py() for i in keep], num, den)
-                tree = Tree(part, np.r_[0, np.cumsum(np.diff(bounds)[small])])
-                out += [(keep[i], keep[j]) for i, j in tree.pairs()]
-            else:
-                out += [*Tree(leaves, bounds).pairs()]
-        if not out:
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        a, b = self.of[i], self.of[j]
+        apart = a != b
+        if not apart.any():
             return
-        i, j = (np.concatenate(x) for x in zip(*out, strict=True))
-        if not every:
-            low, high = np.minimum(i, j), np.maximum(i, j)
-            by = np.lexsort((low, high))
-            low, high = low[by], high[by]
-            first = np.r_[True, high[1:] != high[:-1]]
-            i, j = low[first], high[first]
-        a, b = np.minimum(nid[i], nid[j]), np.maximum(nid[i], nid[j])
-        pairs = np.unique(np.stack([a, b], 1), axis=0)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        edges = np.unique(np.stack([np.minimum(a, b)[apart], np.maximum(a, b)[apart]], 1), axis=0)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        for x, y in edges.tolist():
+            x, y = root(x), root(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+        old = np.unique(edges)
+        new = np.array([root(x) for x in old.tolist()])
+        at = np.minimum(np.searchsorted(old, self.of), len(old) - 1)
+        self.of = np.where(old[at] == self.of, new[at], self.of)
+
+
+def whole_blocks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least: int) -> Iterator[pa.Table]:
+    """Tables of whole blocks, of ``least`` rows or a little more, from rows that are sorted by the blocks' keys."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size >= least:  # up to the last block that is surely whole
+            table = pa.Table.from_batches(held).combine_chunks()
+            same = np.stack([table[c].to_numpy() for c in keys])
+            same = (same == same[:, -1:]).all(0)
+            if not same.all():
+                cut_at = len(same) - int(np.argmin(same[::-1]))
+                yield table.slice(0, cut_at)
+                table = table.slice(cut_at).combine_chunks()
+            held, size = table.to_batches(), table.num_rows
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def several(table: pa.Table, keys: tuple[str, ...]) -> tuple[pa.Table, np.ndarray]:
+    """The rows of blocks with more than one row, and the bounds of these blocks."""
+    key = np.stack([table[c].to_numpy() for c in keys])
+    bounds = np.r_[0, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, key.shape[1]]
+    sizes = np.diff(bounds)
+    many = sizes > 1
+    return table.filter(pa.array(np.repeat(many, sizes))), np.r_[0, np.cumsum(sizes[many])]
+
+
+def joined_by(blocks: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) between components whose documents may be linked, from rows (token, p, q, nid, n, comp, side, sig) sorted by
+    block: of each block at most an edge per component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            if not batch.num_rows:
+        for table in whole_blocks(batches, ("token", "p", "q"), 2 * BLOCK):
+            table, bounds = several(table, ("token", "p", "q"))
+            if not table.num_rows:
                 continue
-            if size >= 4 * BLOCK:  # up to the last block that is surely whole
-                table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                same = np.stack([table[c].to_numpy() for c in ("token", "p", "q")])
-                same = (same == same[:, -1:]).all(0)
-                cut_at = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
-                if cut_at:
-                    yield from found([table.slice(0, cut_at)])
-                held = [table.slice(cut_at)]
-                size = table.num_rows - cut_at
-            held.append(batch)
-            size += batch.num_rows
-        if held:
-            yield from found(held)
+            comp = table["comp"].to_numpy()
+            names, start = np.unique(comp, return_inverse=True)
+            leaves = Leaves(table["n"].to_numpy(), start, table["side"].to_numpy(), table["sig"].combine_chunks().to_pylist(), num, den)
+            labels = Labels(start)
+            for i, j in Tree(leaves, bounds).pairs():
+                labels.join(i, j)
+                leaves.comp = labels.of
+            pairs = np.unique(np.stack([labels.of, start], 1), axis=0)
+            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(names[pairs[:, 0]]), pa.array(names[pairs[:, 1]])], ["a", "b"])
 
     return blocks.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def leaders(leaves: Leaves, start: int, stop: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of a large block: the first node against all later ones, then the first of those not found, and so on."""
-    left, out = np.arange(start, stop), []
-    for _ in range(LEADERS):
-        if len(left) < 2:
-            break
-        head, rest = left[0], left[1:]
-        near = leaves.close(np.full(len(rest), head), rest)
-        out.append((np.full(int(near.sum()), head), rest[near]))
-        left = rest[~near]
-    return out
-
-
-def parted(entries: DataFrame, all_parts: bool) -> DataFrame:
-    """Adds p, q and side: large blocks are dealt into parts by the hash of the node; with ``all_parts``, every two of them meet."""
-    parts = F.ceil(F.col("g") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("nid"), parts).cast("int")
-    if not all_parts:
-        return entries.select("token", own.alias("p"), own.alias("q"), "nid", "n", "comp", F.lit(-1).alias("side"))
-    dealt = entries.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), parts - 1)))
+def exact_bitmaps(values: list[np.ndarray]) -> np.ndarray | None:
+    """Bitmaps of the tokens that two of the sets or more have: the common bits of two are their overlap. None if they were too large."""
+    flat = np.concatenate(values)
+    token, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.full(len(token), -1)
+    number[count > 1] = np.arange((count > 1).sum())
+    width = max(64, -(-int((count > 1).sum()) // 64) * 64)
+    if len(values) * width // 8 > DENSE_BYTES:
+        return None
+    row, column = np.repeat(np.arange(len(values)), [*map(len, values)]), number[place]
+    row, column = row[column >= 0], column[column >= 0]
+    out = np.zeros((len(values), width // 8), np.uint8)
+    np.bitwise_or.at(out, (row, column >> 3), (1 << (column & 7)).astype(np.uint8))
+    return out.view(U64)
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two ascending sets."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+class Families:
+    """Exact overlaps of pairs of one batch, by bitmaps within larger families and by sets elsewhere."""
+
+    def __init__(self, values: list[np.ndarray], bounds: np.ndarray):
+        self.values, self.bounds, self.at, self.maps = values, bounds, -1, None
+
+    def overlaps(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), np.int64)
+        family = np.searchsorted(self.bounds, i, "right") - 1
+        for f in np.unique(family).tolist():
+            at = np.flatnonzero(family == f)
+            start, stop = int(self.bounds[f]), int(self.bounds[f + 1])
+            if f != self.at:
+                self.at, self.maps = f, exact_bitmaps(self.values[start:stop]) if stop - start > DENSE else None
+            if self.maps is None:
+                out[at] = [overlap(self.values[a], self.values[b]) for a, b in zip(i[at].tolist(), j[at].tolist(), strict=True)]
+                continue
+            step = max(1, (16 << 20) // (self.maps.shape[1] * 8))
+            for k in range(0, len(at), step):
+                own = at[k : k + step]
+                out[own] = np.bitwise_count(self.maps[i[own] - start] & self.maps[j[own] - start]).sum(1, dtype=np.int64)
+        return out
+
+
+def linked(families: DataFrame, num: int, den: int) -> DataFrame:
+    """From rows (family, p, q, nid, side, body) sorted by family, part and size: (a, b, n) with a = b for the count n of links of a
+    node, and with a < b, n = 0 for links that join the same nodes as all links do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_blocks(batches, ("family", "p", "q"), 512):
+            table, bounds = several(whole, ("family", "p", "q"))
+            if not table.num_rows:
+                continue
+            nid = table["nid"].to_numpy()
+            values = [np.frombuffer(x.as_buffer(), U64) for x in table["body"]]
+            size = np.fromiter(map(len, values), np.int64, len(values))
+            leaves = Leaves(size, np.arange(len(nid)), table["side"].to_numpy(), [signature(x, FAMILY_BITS) for x in values], num, den)
+            exact, labels, degree = Families(values, bounds), Labels(np.arange(len(nid))), np.zeros(len(nid), np.int64)
+            for i, j in Tree(leaves, bounds).pairs():
+                common = exact.overlaps(i, j)
+                good = common * den >= (size[i] + size[j] - common) * num
+                i, j = i[good], j[good]
+                degree += np.bincount(i, minlength=len(nid)) + np.bincount(j, minlength=len(nid))
+                labels.join(i, j)
+            some, own = np.flatnonzero(degree), np.flatnonzero(labels.of != np.arange(len(nid)))
+            first, second = nid[labels.of[own]], nid[own]
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(np.r_[nid[some], np.minimum(first, second)]), pa.array(np.r_[nid[some], np.maximum(first, second)]), pa.array(np.r_[degree[some], np.zeros(len(own), np.int64)])], ["a", "b", "n"])
+
+    return families.mapInArrow(run, "a bigint, b bigint, n bigint")
+
+
+def parted(rows: DataFrame) -> DataFrame:
+    """Adds p, q and side: blocks of more than one of their ``parts`` are dealt by the hash of the node, and every two parts meet; side
+    tells them apart, and is -1 where a part meets itself."""
+    parts = F.col("parts")
+    dealt = rows.withColumn("_own", F.pmod(F.xxhash64("nid"), parts).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), parts - 1)))
     side = F.when(F.col("_own") == F.col("_other"), F.lit(-1)).otherwise((F.col("_own") > F.col("_other")).cast("int"))
-    return dealt.select("token", F.least("_own", "_other").alias("p"), F.greatest("_own", "_other").alias("q"), "nid", "n", "comp", side.alias("side"))
+    return dealt.withColumn("p", F.least("_own", "_other")).withColumn("q", F.greatest("_own", "_other")).withColumn("side", side).drop("_own", "_other", "parts")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Those pairs (a, b) whose exact sets are similar enough. Sets are made from the texts of the nodes' first documents."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct().join(nodes.select("nid", "rep", "d1", "d2"), "nid")
-    wanted = cut(wanted)
-    small = wanted.count() * 40 <= BROADCAST_BYTES
-    texts = docs.withColumn("_rep", F.coalesce("doc_id", F.lit(NONE))).join(F.broadcast(wanted) if small else wanted, F.col("_rep") == F.col("rep")).select("nid", "d1", "d2", "text")
+def bodies(wanted: DataFrame, docs: DataFrame, k: int, salt: int) -> DataFrame:
+    """Adds the exact set, made from the text of the document ``rep`` whose set has the name and rest of the digest, to rows (nid, rest,
+    rep, ..). Rows that share a doc_id and a set come more than once."""
+    small = wanted.count() * 64 <= BROADCAST_BYTES
+    texts = docs.withColumn("_rep", F.coalesce("doc_id", F.lit(NONE))).join(F.broadcast(wanted) if small else wanted, F.col("_rep") == F.col("rep"))
+    others = [c for c in wanted.columns if c not in ("nid", "rest", "rep")]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(3))
+            data, offsets = utf8(batch.column(2))
             for a, b in chunks(offsets):
                 values, bounds = sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k)
-                d1, d2 = digests(values, bounds)
+                nid, rest = digests(values, bounds, salt)
                 part = batch.slice(a, b - a)
-                keep = np.flatnonzero((d1 == part.column(1).to_numpy()) & (d2 == part.column(2).to_numpy()))
+                keep = np.flatnonzero((nid == part.column(0).to_numpy()) & (rest == part.column(1).to_numpy()))
                 if len(keep):
                     raw = [values[bounds[r] : bounds[r + 1]].tobytes() for r in keep.tolist()]
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array(raw, pa.binary())], ["nid", "body"])
+                    taken = part.take(pa.array(keep))
+                    yield pa.RecordBatch.from_arrays([taken.column(0), *taken.columns[3:], pa.array(raw, pa.binary())], ["nid", *others, "body"])
 
-    made = cut(texts.mapInArrow(make, "nid bigint, body binary").groupBy("nid").agg(F.first("body").alias("body")))
-    heads = made.join(pairs.select(F.col("a").alias("nid")).distinct(), "nid", "left_semi")
-    both = pairs.join(made.select(F.col("nid").alias("b"), F.col("body").alias("y")), "b").join(heads.select(F.col("nid").alias("a"), F.col("body").alias("x")), "a")
+    schema = "nid bigint, " + "".join(f"`{c}` {wanted.schema[c].dataType.simpleString()}, " for c in others) + "body binary"
+    return texts.select("nid", "rest", "text", *others).mapInArrow(make, schema)
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            xs, ys = batch.column(2), batch.column(3)
-            good, last, x = [], None, None
-            for r, (u, v) in enumerate(zip(xs, ys, strict=True)):
-                raw = u.as_buffer()
-                x, y = np.frombuffer(raw, U64), np.frombuffer(v.as_buffer(), U64)
-                joined = np.concatenate([x, y])
-                joined.sort(kind="stable")
-                common = int((joined[1:] == joined[:-1]).sum())
-                if common * den >= (len(x) + len(y) - common) * num:
-                    good.append(r)
-            if good:
-                yield pa.RecordBatch.from_arrays([c.take(pa.array(good)) for c in batch.columns[:2]], ["a", "b"])
-
-    return both.select("a", "b", "x", "y").mapInArrow(test, "a bigint, b bigint")
+
+def repeated(rows: DataFrame) -> bool:
+    """Whether rows share a doc_id, or several have none."""
+    return not rows.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").limit(1).isEmpty()
 
 
 def join(documents: DataFrame, text: str = "text", key: str = "doc_id", k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links) and n_links (of its set to other sets, as
-    verified; those that follow from the component alone are not counted)."""
-    docs = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links) and n_links (how many other sets its own is linked
+    with)."""
+    docs = bounded(documents).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     spark = docs.sparkSession
-    seen = cut(profile(docs, k))
+    seen, salt = cut(profile(docs, k, num, den, 0)), 0
+    while not seen.where("kind = 0").groupBy("nid").agg(F.min("rest").alias("x"), F.max("rest").alias("y")).where("x <> y").limit(1).isEmpty():
+        salt += 1  # two sets have one name
+        seen = cut(profile(docs, k, num, den, salt))
     rows = seen.where("kind = 0")
-    often = seen.where("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d1").limit(FREQUENT).select("d1").toArrow()
-    frequent = np.sort(often["d1"].to_numpy().view(U64)) if often.num_rows else np.zeros(0, U64)
-
-
-    made = prefixes(docs, k, num, den, frequent)
-    grouped = made.groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("sig").alias("sig"))
-    nodes = cut(grouped.withColumn("nid", F.monotonically_increasing_id()).withColumn("rep", F.coalesce("least", F.lit(NONE))))
-    bitmaps = nodes.select("nid", "sig")
-
-    def candidates(entries: DataFrame, live: F.Column, every: bool) -> DataFrame:
-        """entries: token, nid, n, comp."""
-        blocks = entries.groupBy("token").agg(F.count("*").alias("g"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where(live).select("token", "g")
-        placed = parted(entries.join(blocks, "token"), every).join(bitmaps, "nid")
-        order = ["token", "p", "q", *(["comp"] if every else []), "n", "nid"]
-        dealt = placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", "p", "q").sortWithinPartitions(*order)
-        return cut(block_pairs(dealt.select("token", "p", "q", "nid", "n", "comp", "side", "sig"), num, den, every))
-
-    first = nodes.select(F.explode(F.slice("first", 1, FIRST)).alias("token"), "nid", "n", F.col("nid").alias("comp"))
-    links = cut(verified(candidates(first, F.col("g") > 1, False), nodes, docs, k, num, den))
-    roots = components(links)
-    labelled = nodes.join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("comp", F.coalesce("root", "nid"))
-    whole = labelled.select(F.explode("first").alias("token"), "nid", "n", "comp")
-    more = candidates(whole, F.col("c1") < F.col("c2"), True)
-    if not more.isEmpty():
-        links = cut(links.unionByName(verified(more, nodes, docs, k, num, den)).distinct())
-        roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("nid")).groupBy("nid").agg(F.count("*").alias("n_links"))
-    own = nodes.select("nid", "d1", "d2", "least").join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-    least = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = own.join(least, "root").join(degree, "nid", "left").select("d1", "d2", "component_id", "n_links")
-    out = rows.where("n > 0").join(named, ["d1", "d2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    often = seen.where("kind = 1").groupBy("nid").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "nid").limit(FREQUENT).select("nid").toArrow()
+    frequent = np.sort(often["nid"].to_numpy().view(U64)) if often.num_rows else np.zeros(0, U64)
+
+    made = cut(prefixes(docs, k, num, den, frequent, salt))
+    nodes = rows.where("n > 0").groupBy("nid").agg(F.first("rest").alias("rest"), F.first("n").alias("n"), F.coalesce(F.min("doc_id"), F.lit(NONE)).alias("rep"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64("nid"), F.lit(SALTS)).cast("bigint")
+
+    def edges(entries: DataFrame, every: bool) -> DataFrame:
+        """Of entries (token, salt, n, nid, comp): which components may be linked. With ``every``, all first tokens are among them."""
+        kept = cut(shared(entries, num, den))
+        if every:
+            least = F.least(F.floor(F.col("n") / MORE) + 1, F.ceil(F.col("n") * num / den))
+            enough = kept.groupBy("nid", "n").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("nid")
+            kept = kept.join(enough, "nid", "left_semi")
+        blocks = kept.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token", F.ceil(F.col("g") / BLOCK).cast("int").alias("parts"))
+        placed = kept.join(blocks, "token")
+        some = cut(placed.select("nid").distinct())
+        bitmaps = made.select("nid", "sig").join(F.broadcast(some) if some.count() * 16 <= BROADCAST_BYTES else some, "nid", "left_semi").groupBy("nid").agg(F.first("sig").alias("sig"))
+        placed = parted(placed).join(bitmaps, "nid")
+        dealt = placed.repartition(partitions, "token", "p", "q").sortWithinPartitions("token", "p", "q", "comp", "n", "nid")
+        return cut(joined_by(dealt.select("token", "p", "q", "nid", "n", "comp", "side", "sig"), num, den))
+
+    def tokens(frame: DataFrame, most: int | None) -> DataFrame:
+        """One row per first token, salted where it is frequent."""
+        if most:
+            front = F.slice("first", 1, most)
+            parts = front, F.slice("late", 1, F.greatest(F.lit(0), F.lit(most) - F.size(front)))
+        else:
+            parts = F.col("first"), F.col("late")
+        every = F.concat(F.transform(parts[0], lambda x: F.struct(x.alias("token"), F.lit(-1).cast("bigint").alias("salt"))), F.transform(parts[1], lambda x: F.struct(x.alias("token"), spread.alias("salt"))))
+        return frame.select(F.explode(every).alias("_t"), "n", "nid", "comp").select("_t.token", "_t.salt", "n", "nid", "comp")
+
+    first = edges(tokens(made.withColumn("comp", F.col("nid")), FIRST), False)
+    known = components(first).withColumnRenamed("node", "nid")
+    known = F.broadcast(known) if known.count() * 40 <= BROADCAST_BYTES else known
+    second = edges(tokens(made.join(known, "nid", "left").withColumn("comp", F.coalesce("root", "nid")), None), True)
+    family = components(first.unionByName(second)).select(F.col("node").alias("nid"), F.col("root").alias("family"))
+
+    named = family.join(nodes, "nid")
+    parts = F.greatest(F.ceil(F.sum("n") / PART_TOKENS), F.ceil(F.count("*") / PART_NODES)).cast("int").alias("parts")
+    wanted = cut(named.join(named.groupBy("family").agg(parts), "family"))
+    placed = parted(bodies(wanted, docs, k, salt).dropDuplicates(["nid"]) if repeated(rows) else bodies(wanted, docs, k, salt))
+    dealt = placed.repartition(partitions, "family", "p", "q").sortWithinPartitions("family", "p", "q", "n", "nid")
+    found = cut(linked(dealt.select("family", "p", "q", "nid", "side", "body"), num, den))
+    roots = components(found.where("a < b").select("a", "b"))
+    degree = found.where("a = b").groupBy(F.col("a").alias("nid")).agg(F.sum("n").alias("n_links"))
+    least = rows.where("n > 0").groupBy("nid").agg(F.min("doc_id").alias("least"))
+    own = least.join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    named = own.join(own.groupBy("root").agg(F.min("least").alias("component_id")), "root").join(degree, "nid", "left").select("nid", "component_id", "n_links")
+    out = rows.where("n > 0").join(named, "nid").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
     return out.unionByName(alone)
 
@@ -415,5 +579,4 @@ def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", k: i
     gone = cut(found.where("component_id < doc_id").select("doc_id").distinct())
     small = gone.count() * 16 <= BROADCAST_BYTES
     left = documents.join(F.broadcast(gone) if small else gone, documents[key].cast("bigint") == gone["doc_id"], "left_anti")
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1)
-    return left if twice.isEmpty() else left.dropDuplicates([key, text])
+    return left.where(F.col(key).isNull()).unionByName(left.where(F.col(key).isNotNull()).dropDuplicates([key, text])) if repeated(found) else left
