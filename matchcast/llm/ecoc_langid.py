@@ -81,7 +81,7 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     random, best, apart = np.random.default_rng(seed), None, -1
     for _ in range(200):
         code = random.choice(np.array([-1, 1], np.int8), (n, int(np.ceil(15 * np.log2(n)))))
-        code = code[:, np.abs(code.sum(1 - 1)) < n]
+        code = code[:, np.abs(code.sum(0)) < n]
         far = code.shape[1] - int((code.astype(int) @ code.T.astype(int) - 2 * code.shape[1] * np.eye(n, dtype=int)).max())
         if far > apart:
             best, apart = code, far
@@ -99,7 +99,7 @@ class Model:
             margin = share @ w  # expected, by language
             weights.append(w)
             trust.append(max(1e-3, (margin * bit).min()))
-        self.weights = np.array(weights, np.float32).reshape(len(weights), -1).T.copy()
+        self.weights = np.array(weights, np.float32).reshape(len(weights), 1 << BITS).T.copy()
         self.trust = np.array(trust) / np.mean(trust) if trust else np.zeros(0)
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
