@@ -1,10 +1,11 @@
-"""Substring deduplication by hashing of lines and of the sentences in them.
+"""Substring deduplication by hashing of lines and of parts of lines.
 
 Units are normalised (A-Z in lower case, white space runs as one), digested to 128 bits, and grouped over the whole corpus. Of each
 digest the earliest ranked occurrence stays: that in the smallest doc_id, and there the first. All others are removed, and their
-offsets in the original text are kept. A passage that is copied into running text is found by the sentences within it.
+offsets in the original text are kept. A passage that is copied into running text is found by the sentences within it and, whatever its
+punctuation, by the runs of words within it that end where a word's hash says so.
 
-Units with fewer words than ``LINE_WORDS`` or ``SENTENCE_WORDS`` are left alone.
+Units with fewer words than ``LINE_WORDS``, ``SENTENCE_WORDS`` or ``RUN_WORDS`` are left alone.
 
 The groups are aggregated (least doc_id, count) before the exchange, so a line of a third of all documents is one row
 per task; the occurrences are then joined to the repeated digests only, by an equi-join that Spark can split where it is skewed.
@@ -25,12 +26,14 @@ from pyspark.sql import DataFrame, functions as F
 from matchcast.shared import bounded
 from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, powers, span_hashes, utf8, words
 
-LINE_WORDS, SENTENCE_WORDS = 3, 5
+LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 3, 5, 7
+#: One word in so many ends a run.
+RUN_ENDS = 10
 LAST = (1 << 63) - 1
 
 
-def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words: int) -> dict[str, np.ndarray]:
-    """Row, level (0 line, 1 sentence), both halves of the digest, byte offsets of each unit, first of its digest in its row or not."""
+def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words: int, run_words: int = RUN_WORDS) -> dict[str, np.ndarray]:
+    """Row, level (0 line, 1 sentence, 2 run), both halves of the digest, byte offsets of each unit, first of its digest in its row or not."""
     data = LOWER[data]
     starts, ends, rows = words(data, offsets, ~SPACE)
     n = len(starts)
@@ -46,6 +49,8 @@ def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words
     cuts[1:] |= stops[data[ends[:-1] - 1]]
 
     own = span_hashes(data, starts, ends)
+    runs = np.ones(n, bool)
+    runs[1:] = (rows[1:] != rows[:-1]) | (own[:-1] % U64(RUN_ENDS) == 0)
     up, down = powers(n + 1)
     sums = []
     for salt in (U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)):
@@ -53,12 +58,12 @@ def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words
         np.cumsum(mix(own ^ salt) * up[:-1], out=total[1:])
         sums.append(total)
     found = []
-    for level, marks, least in ((0, breaks, line_words), (1, cuts, sentence_words)):
+    for level, marks, least in ((0, breaks, line_words), (1, cuts, sentence_words), (2, runs, run_words)):
         first = np.flatnonzero(marks)
         last = np.r_[first[1:], n]
         keep = last - first >= least
         first, last = first[keep], last[keep]
-        size = (last - first).astype(U64) * U64(2) + U64(level)
+        size = (last - first).astype(U64) * U64(4) + U64(level)
         found.append((rows[first], np.full(len(first), level), *(mix((t[last] - t[first]) * down[first] + size) for t in sums), starts[first], ends[last - 1]))
     row, level, h1, h2, start, end = (np.concatenate(x) for x in zip(*found, strict=True))
     by = np.lexsort((start, h2, h1, row))
@@ -70,7 +75,7 @@ def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words
     return {"row": row, "level": level, "h1": h1.view(np.int64), "h2": h2.view(np.int64), "start": start, "end": end, "fresh": first_of}
 
 
-def unit_rows(docs: DataFrame, places: bool, line_words: int, sentence_words: int) -> DataFrame:
+def unit_rows(docs: DataFrame, places: bool, line_words: int, sentence_words: int, run_words: int) -> DataFrame:
     """All occurrences: doc_id and digest, with ``places`` also level, offsets, and whether it is the first in its document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +85,7 @@ def unit_rows(docs: DataFrame, places: bool, line_words: int, sentence_words: in
             for a, b in chunks(offsets):
                 part = data[offsets[a] : offsets[b]]
                 own = offsets[a : b + 1] - offsets[a]
-                u = units(part, own, line_words, sentence_words)
+                u = units(part, own, line_words, sentence_words, run_words)
                 columns = [pa.array(keys[a + u["row"]]), pa.array(u["h1"]), pa.array(u["h2"])]
                 if places:
                     point = np.zeros(len(part) + 1, np.int64)
@@ -92,12 +97,12 @@ def unit_rows(docs: DataFrame, places: bool, line_words: int, sentence_words: in
     return docs.mapInArrow(run, "doc_id bigint, h1 bigint, h2 bigint" + (", level tinyint, start int, end int, fresh boolean" if places else ""))
 
 
-def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
     """Every unit to remove: doc_id, level, start, end, kept_doc_id."""
     source = bounded(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    groups = unit_rows(source, False, line_words, sentence_words).groupBy("h1", "h2").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n"))
+    groups = unit_rows(source, False, line_words, sentence_words, run_words).groupBy("h1", "h2").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n"))
     many = groups.where("n > 1").select("h1", "h2", "kept")
-    gone = unit_rows(source, True, line_words, sentence_words).join(many, ["h1", "h2"]).where("doc_id > kept or not fresh")
+    gone = unit_rows(source, True, line_words, sentence_words, run_words).join(many, ["h1", "h2"]).where("doc_id > kept or not fresh")
     back = lambda c: F.when(F.col(c) < LAST, F.col(c))
     return gone.select(back("doc_id").alias("doc_id"), "level", "start", "end", back("kept").alias("kept_doc_id"))
 
@@ -110,7 +115,10 @@ def by_document(found: DataFrame) -> DataFrame:
     merged = F.aggregate(
         "all",
         none,
-        lambda a, x: F.when((F.size(a) > 0) & (F.element_at(a, -1)["end"] >= x["end"]), a).otherwise(F.concat(a, F.array(x))),
+        lambda a, x: F.when(
+            (F.size(a) > 0) & (F.element_at(a, -1)["end"] >= x["start"]),
+            F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], x["end"]).alias("end")))),
+        ).otherwise(F.concat(a, F.array(x))),
     )
     kept = grouped.withColumn("removed", merged)
     return kept.select("doc_id", "n_units", F.aggregate("removed", F.lit(0), lambda a, x: a + x["end"] - x["start"]).cast("bigint").alias("removed_chars"), "kept_doc_ids", F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("removed"))

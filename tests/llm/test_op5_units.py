@@ -1,17 +1,26 @@
 import re
 
+import numpy as np
+
 from matchcast.llm import queries, unit_dedup as op
+from matchcast.llm.vec import span_hashes
 from tests.llm.cases import ROWS, SCHEMA, frame
 
 WORD = re.compile(r"[^ \t\n\v\f\r]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def brute(rows, line_words=3, sentence_words=5):
+def ends_run(word):
+    """Whether the word's hash ends a run."""
+    raw = np.frombuffer(word.encode(), np.uint8)
+    return int(span_hashes(raw, np.array([0]), np.array([len(raw)]))[0]) % op.RUN_ENDS == 0
+
+
+def brute(rows, line_words=3, sentence_words=5, run_words=7):
     """Removed (start, end, keeper) by doc_id, of (doc_id, text) with distinct keys."""
     seen, gone = {}, {}
     for key, t in sorted(rows, key=lambda r: r[0]):
-        at, units = 0, []
+        at, units, run = 0, [], []
         for line in (t or "").split("\n"):
             words = [(m.start() + at, m.end() + at, m[0].translate(LOW)) for m in WORD.finditer(line)]
             if len(words) >= line_words:
@@ -23,7 +32,13 @@ def brute(rows, line_words=3, sentence_words=5):
                     units += [(1, own)] if len(own) >= sentence_words else []
                     own = []
             units += [(1, own)] if len(own) >= sentence_words else []
+            for w in words:
+                run.append(w)
+                if ends_run(w[2]):
+                    units += [(2, run)] if len(run) >= run_words else []
+                    run = []
             at += len(line) + 1
+        units += [(2, run)] if len(run) >= run_words else []
         for level, ws in sorted(units, key=lambda u: u[1][0][0]):
             name = (level, tuple(w[2] for w in ws))
             if name in seen:
@@ -51,6 +66,16 @@ def test_equals_brute_force(spark):
     check(spark, rows)
 
 
+def test_passages_without_punctuation(spark):
+    """Any run of 60 words that two documents share is found, wherever it stands."""
+    random = np.random.default_rng(8)
+    word = lambda: "".join(random.choice(list("abcdefghij"), 5))
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join([word() for _ in range(int(random.integers(0, 40)))] + passage + [word() for _ in range(20)])) for i in range(1, 8)]
+    _, want = check(spark, rows + [(90, " ".join(word() for _ in range(200)))])
+    assert set(want) == set(range(2, 8))
+
+
 def test_removal_keeps_the_rest(spark):
     rows = [(1, "one two three four five. rest"), (2, "é head. One two three four five. tail\none two three\nx"), (3, "one two three"), (4, None)]
     df, want = check(spark, rows)
