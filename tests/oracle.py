@@ -15,7 +15,7 @@ def connect(sf):
 
 
 def cell(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+    if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)):
         return ""
     if hasattr(v, "item") and not isinstance(v, pd.Timestamp):
         v = v.item()
