@@ -33,8 +33,11 @@ def multi_hot(words: list[str], column: str, out: str) -> CountVectorizerModel:
     return CountVectorizerModel.from_vocabulary(words, inputCol=column, outputCol=out)
 
 
-def multi_hot_rows(df: DataFrame, column: str, key: list[str]) -> DataFrame:
-    """The same in long form: (key, token, n)."""
+def multi_hot_rows(df: DataFrame, column: str, key: list[str], per_row: bool = False) -> DataFrame:
+    """The same in long form: (key, token, n). Where the key is of one row, ``per_row`` counts within the row, without an exchange."""
+    if per_row:
+        counts = F.transform(F.array_distinct(column), lambda t: F.struct(t.alias("token"), F.size(F.filter(column, lambda x: x.eqNullSafe(t))).cast("bigint").alias("n")))
+        return df.select(*key, F.explode(counts).alias("_c")).select(*key, "_c.token", "_c.n")
     return df.select(*key, F.explode(column).alias("token")).groupBy(*key, "token").agg(F.count("*").alias("n"))
 
 

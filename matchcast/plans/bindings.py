@@ -46,5 +46,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_seq(matches(spark, sf_dir), ORDER)
+def numbered(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The view with seq; with ``columns``, these and the key alone, which is less to exchange."""
+    rows = matches(spark, sf_dir)
+    return with_seq(rows.select(*dict.fromkeys([*ORDER, *columns])) if columns else rows, ORDER)

@@ -133,7 +133,7 @@ def q10b_notebook_score(spark, sf_dir):
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, unnest(list_transform(range(10), lambda i: concat('P', CAST((l_suppkey * 5 + i) % 400 AS VARCHAR)))) AS token FROM lineitem)
 GROUP BY ALL""")
 def q11_multi_hot(spark, sf_dir):
-    return encode.multi_hot_rows(matches(spark, sf_dir), "players", KEY)
+    return encode.multi_hot_rows(matches(spark, sf_dir), "players", KEY, per_row=True)
 
 
 @query("""WITH o AS (SELECT CAST(o_orderdate AS DATE) AS date FROM orders ORDER BY o_orderkey LIMIT 1)
@@ -158,7 +158,7 @@ def q13_z_score(spark, sf_dir):
 @query(f"""WITH {VIEW}, c AS (SELECT *, count(*) OVER () - seq AS k, count(*) OVER () AS n FROM numbered), t AS (SELECT *, ceil(n * 0.07 - 1e-9) AS test FROM c)
 SELECT seq, l_orderkey, CASE WHEN k < test THEN 'test' WHEN k < test + ceil((n - test) * 0.07 - 1e-9) THEN 'validation' ELSE 'train' END AS part FROM t""")
 def q14_ordered_holdout(spark, sf_dir):
-    return ordering.holdout(numbered(spark, sf_dir), nested=True).select("seq", "l_orderkey", "part")
+    return ordering.holdout(numbered(spark, sf_dir, "l_orderkey"), nested=True).select("seq", "l_orderkey", "part")
 
 
 @query("""WITH n AS (SELECT *, count(*) OVER () - row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS k FROM orders), f AS (SELECT unnest(range(4)) AS fold)
@@ -339,7 +339,7 @@ def q35_rounded(spark, sf_dir):
 @query(f"""WITH {VIEW} SELECT l_orderkey, concat('Игра ', min('A' || CAST(l_orderkey AS VARCHAR)), ' vs ', min('B' || CAST(l_orderkey AS VARCHAR)), chr(10),
   string_agg(concat(map, ': ', printf('%.2f', round(sqrt(pred) * 100, 2)), '%'), chr(10) ORDER BY seq), chr(10), 'Среднее: ', printf('%.2f', round(avg(sqrt(pred)) * 100, 2)), '%') AS message FROM numbered WHERE pred >= 0 GROUP BY l_orderkey""")
 def q36_messages(spark, sf_dir):
-    m = numbered(spark, sf_dir).withColumn("a", F.concat(F.lit("A"), F.col("l_orderkey").cast("string"))).withColumn("b", F.concat(F.lit("B"), F.col("l_orderkey").cast("string")))
+    m = numbered(spark, sf_dir, "map", "pred").withColumn("a", F.concat(F.lit("A"), F.col("l_orderkey").cast("string"))).withColumn("b", F.concat(F.lit("B"), F.col("l_orderkey").cast("string")))
     m = m.withColumn("p", F.sqrt("pred"))  # no ties in rounding, which engines break in their own ways
     return serve.messages(m, ["l_orderkey"], "a", "b", "map", "p", "seq").select("l_orderkey", "message")
 
@@ -411,7 +411,7 @@ def q42_centred_pca(spark, sf_dir):
 @query(f"""{_LIVE}, q AS (SELECT s.*, row_number() OVER (ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS seq FROM s WHERE score IS NOT NULL)
 SELECT seq, round((coalesce(sum(score) OVER w, 0) + 0.5) / (count(score) OVER w + 1), 6) AS team_1_mean FROM q WINDOW w AS (PARTITION BY team_1 ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def q43_target_statistics(spark, sf_dir):
-    m = ordering.with_seq(_scored(spark, sf_dir), ORDER)
+    m = ordering.with_seq(_scored(spark, sf_dir).select(*ORDER, "team_1", "score"), ORDER)
     return encode.target_statistics(m, "team_1", "score", "team_1_mean").select("seq", six("team_1_mean").alias("team_1_mean"))
 
 
