@@ -125,3 +125,34 @@ def redact(docs: DataFrame, text: str = "text", repository: str = "source", owne
     )
     joined_ = keyed.join(F.broadcast(spans_) if small else spans_, ["_h1", "_h2"], "left")
     return joined_.select(*(F.when(F.col("_found").isNotNull(), left).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in docs.columns))
+
+
+def _sql_kind(rank: int, pattern: str, group: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"SELECT r, source, {rank} AS rank, string_split_regex(t, '{quoted}') AS pieces, regexp_extract_all(t, '{quoted}', 0) AS whole, regexp_extract_all(t, '{quoted}', {group}) AS val FROM d"
+
+
+#: The same in SQL. Its engine knows no looking around, so the added kind is every run of its characters, filtered afterwards.
+SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+k AS ({" UNION ALL ".join([*(_sql_kind(i, p, g) for i, (_, p, _, g) in enumerate(BASE)), _sql_kind(3, "[A-Za-z0-9+/_=-]+", 0)])}),
+i AS (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM k),
+s AS (
+  SELECT r, source, rank, CAST(list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a, length(whole[i]) AS n, val[i] AS v FROM i
+  WHERE length(val[i]) >= CASE rank {" ".join(f"WHEN {i} THEN {least}" for i, (_, _, least, _) in enumerate((*BASE, LIVE)))} END
+),
+f AS (
+  SELECT * FROM s WHERE rank < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')
+    AND NOT EXISTS (SELECT 1 FROM s b WHERE b.r = s.r AND b.rank < 3 AND b.a < s.a + s.n AND b.a + b.n > s.a))
+),
+c AS (SELECT v, count(DISTINCT source) > {MOST_REPOSITORIES} AS copied FROM f GROUP BY v),
+g AS (SELECT r, rank, a, copied, concat({list(KINDS)}[rank + 1], ':', a, ':', a + n) AS span FROM f JOIN c USING (v)),
+j AS (
+  SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex, string_agg(span, ',' ORDER BY a, rank) FILTER (rank < 3) AS base,
+    string_agg(span, ',' ORDER BY a, rank) FILTER (rank < 3 OR NOT copied) AS spans, count(*) FILTER (rank = 3 AND NOT copied) AS n_live, count(*) FILTER (copied) AS n_copied
+  FROM g GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN j USING (r)
+"""

@@ -1,8 +1,11 @@
 import hashlib
 import re
 
+import duckdb
+
 from matchcast.llm import queries, secret_scan as op
 from tests.llm.cases import ROWS, SCHEMA, frame
+from tests.oracle import connect, normal
 
 BASE = [("assign", re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), 6, 2), ("access", re.compile(r"(AKIA[A-Z0-9]+)"), 20, 1), ("hex", re.compile("([0-9a-f]+)"), 24, 1)]
 
@@ -67,6 +70,19 @@ def test_plan_is_native(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_equals_sql(spark, tmp_path):
+    sources = {9: "a", 10: "a", 11: "a", 3: None}
+    df = docs(spark, TEXTS + [f"copied {LIVE}Q {i}" for i in range(4)] + [f"x {LIVE}R=", f"a+b/{LIVE}"], sources)
+    df.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert normal(op.scan(df).drop("found").toPandas()) == normal(c.execute(op.SQL).fetchdf())
+
+
+def test_query_equals_sql(spark, sf):
+    assert normal(queries.op3_secret_scan(spark, sf).toPandas()) == normal(connect(sf).execute(queries.oracle_sql()["op3_secret_scan"]).fetchdf())
+
+
 def test_query(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = queries.op3_secret_scan(spark, sf).collect()
