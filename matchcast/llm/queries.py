@@ -96,6 +96,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from matchcast.llm import secret_scan, url_filter
+    from matchcast.llm import secret_scan, sigtree_join, url_filter
 
-    return {"op3_secret_scan": secret_scan.SQL, "op4_url_filter": url_filter.SQL}
+    return {"op3_secret_scan": secret_scan.SQL, "op4_url_filter": url_filter.SQL, "op10_ngram_join": sigtree_join.SQL}

@@ -580,3 +580,25 @@ def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", k: i
     small = gone.count() * 16 <= BROADCAST_BYTES
     left = documents.join(F.broadcast(gone) if small else gone, documents[key].cast("bigint") == gone["doc_id"], "left_anti")
     return left.where(F.col(key).isNull()).unionByName(left.where(F.col(key).isNotNull()).dropDuplicates([key, text])) if repeated(found) else left
+
+
+#: The same for the defaults of ``join`` in SQL: sets of near sizes that share a shingle are counted, and links followed.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2])))) END AS sh FROM w
+), k AS (SELECT r, doc_id, len(sh) AS n, sh, md5(array_to_string(sh, chr(10))) AS k FROM s),
+u AS (SELECT k, any_value(n) AS n, any_value(sh) AS sh, min(doc_id) AS least FROM k WHERE n > 0 GROUP BY k),
+e AS (SELECT k, n, unnest(sh) AS t FROM u),
+p AS (
+  SELECT a.k AS x, b.k AS y FROM e a JOIN e b ON a.t = b.t AND a.k < b.k AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), l AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+reach AS (SELECT k AS x, k AS y FROM u UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+m AS (SELECT x AS k, min(least) AS component_id FROM reach JOIN u ON reach.y = u.k GROUP BY x),
+d AS (SELECT x AS k, count(*) AS n_links FROM l GROUP BY x)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE component_id END AS component_id, coalesce(n_links, 0) AS n_links
+FROM k LEFT JOIN m USING (k) LEFT JOIN d USING (k)
+"""

@@ -7,6 +7,7 @@ import pytest
 from matchcast.llm import queries, sigtree_join as op
 from matchcast.llm.components import components
 from tests.llm.cases import ROWS, SCHEMA, frame
+from tests.oracle import connect, normal
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -132,3 +133,7 @@ def test_components(spark):
 def test_query(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in queries.op10_ngram_join(spark, sf).collect()) == brute(docs, 3, 90)
+
+
+def test_query_equals_sql(spark, sf):
+    assert normal(queries.op10_ngram_join(spark, sf).toPandas()) == normal(connect(sf).execute(queries.oracle_sql()["op10_ngram_join"]).fetchdf())
