@@ -123,22 +123,24 @@ def profile(docs: DataFrame, k: int, num: int, den: int, salt: int) -> DataFrame
 
 
 def prefixes(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, salt: int) -> DataFrame:
-    """node, n, its first tokens in the common order (those that are frequent apart), and bitmap, of each row with a set."""
+    """node, n, its first tokens in the common order (those that are frequent apart), and bitmap, of the sets of all rows: each task
+    gives a node once, however many copies it has."""
 
     def lists(parts: list[np.ndarray]) -> pa.ListArray:
         ends = np.r_[0, np.cumsum([*map(len, parts)])].astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             for a, b in chunks(offsets):
                 values, bounds = sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k)
                 n = np.diff(bounds)
-                rows = np.flatnonzero(n)
+                nid, _ = digests(values, bounds, salt)
+                rows = np.array([r for r in np.flatnonzero(n).tolist() if (name := int(nid[r])) not in given and not given.add(name)], np.int64)
                 if not len(rows):
                     continue
-                nid, _ = digests(values, bounds, salt)
                 take = taken(n, num, den)
                 late = np.zeros(len(values), bool)
                 if len(frequent):
