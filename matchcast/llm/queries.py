@@ -53,7 +53,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchcast.llm import unit_dedup
 
-    return unit_dedup.by_document(unit_dedup.repeats(table(spark, sf_dir, "documents")))
+    return unit_dedup.by_document(unit_dedup.everything(table(spark, sf_dir, "documents")))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

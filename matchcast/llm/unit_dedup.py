@@ -7,6 +7,12 @@ punctuation, by the runs of words within it that end where a word's hash says so
 
 Units with fewer words than ``LINE_WORDS``, ``SENTENCE_WORDS`` or ``RUN_WORDS`` are left alone.
 
+Passages are found apart from units (``passages``): every stretch of ``PASSAGE_WORDS`` words or more that stands earlier in the corpus is
+removed whole, wherever it begins and ends. All windows of so many words are named by the least hash of the short runs of words in them,
+so equal windows have equal names. Names of one occurrence are dropped; where all windows of a name stand in the same surroundings, these
+are compared as one, and elsewhere each window is. Each character of a script without spaces, or of a word of over ``LONG_WORD`` bytes,
+is a word there. Of a passage that repeats within a document and overlaps its first occurrence, the words beyond that are removed.
+
 The groups are aggregated (least doc_id, count) before the exchange, so a line of a third of all documents is one row
 per task; the occurrences are then joined to the repeated digests only, by an equi-join that Spark can split where it is skewed.
 
@@ -24,9 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from matchcast.shared import bounded
-from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, powers, span_hashes, utf8, words
+from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, powers, ragged, span_hashes, utf8, words
 
 LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 3, 5, 7
+#: Least words of a passage, words of the runs that name its windows, and the level of its pieces.
+PASSAGE_WORDS, NAME_WORDS, PASSAGE = 50, 8, 3
+#: Words of more bytes are taken by their characters in passages.
+LONG_WORD = 64
+#: Bits of the maps of repeated names. Names that share a bit cost rows and change no result.
+NAME_BITS = 1 << 27
 #: One word in so many ends a run.
 RUN_ENDS = 10
 LAST = (1 << 63) - 1
@@ -107,10 +119,163 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", line_words
     return gone.select(back("doc_id").alias("doc_id"), "level", "start", "end", back("kept").alias("kept_doc_id"))
 
 
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of words, where characters of scripts without spaces and of long words stand alone."""
+    starts, ends, rows = words(data, offsets, ~SPACE)
+    long = ends - starts > LONG_WORD
+    lead = (data & 0xC0) != 0x80
+    first, second = data, np.r_[data[1:], np.zeros(min(1, len(data)), np.uint8)]
+    alone = (first >= 0xE3) & (first <= 0xE9)  # kana and Chinese characters
+    alone |= (first == 0xE0) & (second >= 0xB8) & (second <= 0xBF)  # Thai, Lao, Tibetan
+    alone |= (first == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second == 0x9E) | (second == 0x9F))  # Burmese, Khmer
+    alone |= (first == 0xEF) & ((second >= 0xA4) & (second <= 0xAB) | (second >= 0xBC) & (second <= 0xBE))
+    alone |= (first == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    alone &= lead
+    if not (alone.any() or long.any()):
+        return starts, ends, rows
+    edge = np.zeros(len(data) + 1, np.int64)
+    edge[starts[long]] += 1
+    edge[ends[long]] -= 1
+    alone |= lead & (np.cumsum(edge[:-1]) > 0)
+    begins = alone.copy()
+    begins[starts] = True
+    at = np.flatnonzero(lead)
+    begins[at[1:][alone[at[:-1]]]] = True
+    begins &= ~SPACE[data]
+    own = np.flatnonzero(begins)
+    word = np.searchsorted(starts, own, "right") - 1
+    stops = ends[word]
+    stops[:-1] = np.minimum(stops[:-1], own[1:])
+    return own, stops, rows[word]
+
+
+def least_of(values: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least value, and its first place, of every ``w`` values in a row."""
+    v, at, size = values, np.arange(len(values)), 1
+    while size < w:
+        step = min(size, w - size)
+        take = v[step:] < v[:-step]
+        v, at, size = np.where(take, v[step:], v[:-step]), np.where(take, at[step:], at[:-step]), size + step
+    return v, at
+
+
+def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> dict[str, np.ndarray] | None:
+    """Groups of neighbouring windows of ``size`` words with one place of the least hash: row, name, first window, number of windows, and
+    digest of all words in them; the tokens' starts and ends, and the digest of every window. None where no row has a window."""
+    data = LOWER[data]
+    starts, ends, rows = tokens(data, offsets)
+    n = len(starts)
+    if n < size:
+        return None
+    own = span_hashes(data, starts, ends)
+    up, down = powers(n + 1)
+    total = []
+    for salt in (U64(0xC0AC29B7C97C50DD), U64(0x3F84D5B5B5470917)):
+        t = np.zeros(n + 1, U64)
+        np.cumsum(mix(own ^ salt) * up[:-1], out=t[1:])
+        total.append(t)
+    k = min(NAME_WORDS, size)
+    short = mix((total[0][k:] - total[0][:-k]) * down[: n - k + 1])
+    whole = mix((total[1][size:] - total[1][:-size]) * down[: n - size + 1] + U64(size))
+    name, place = least_of(short, size - k + 1)
+    full = np.flatnonzero(rows[: n - size + 1] == rows[size - 1 :])
+    if not len(full):
+        return None
+    fresh = np.ones(len(full), bool)
+    fresh[1:] = (place[full[1:]] != place[full[:-1]]) | (full[1:] != full[:-1] + 1)
+    at = np.flatnonzero(fresh)
+    count = np.diff(np.r_[at, len(full)])
+    first = full[at]
+    last = first + count - 1 + size
+    digest = mix((total[1][last] - total[1][first]) * down[first] + (count + size - 1).astype(U64) * U64(4) + U64(3))
+    return {"row": rows[first], "name": name[first], "first": first, "count": count, "digest": digest, "whole": whole, "starts": starts, "ends": ends}
+
+
+def pieces(w: dict[str, np.ndarray], size: int, seen: np.ndarray) -> dict[str, np.ndarray]:
+    """Those windows whose name is repeated, by the maps ``seen`` of bits of names that repeat and of those in various surroundings: row,
+    digest, byte offsets, where they begin beyond the first of their digest in the row, and whether they are that."""
+    bit = w["name"] & U64(NAME_BITS - 1)
+    there = lambda m: (m[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63)) & U64(1)).astype(bool)
+    several, various = there(seen[0]), there(seen[1])
+    one, each = np.flatnonzero(several & ~various), np.flatnonzero(several & various)
+    count = w["count"][each]
+    split = np.repeat(w["first"][each], count) + ragged(count)
+    row = np.r_[w["row"][one], np.repeat(w["row"][each], count)]
+    h1 = np.r_[w["name"][one], np.repeat(w["name"][each], count)]
+    h2 = np.r_[w["digest"][one], w["whole"][split]]
+    first = np.r_[w["first"][one], split]
+    last = first + np.r_[w["count"][one], np.ones(len(split), np.int64)] + size - 2
+    by = np.lexsort((first, h2, h1, row))
+    fresh = np.ones(len(by), bool)
+    r, a, b = row[by], h1[by], h2[by]
+    fresh[1:] = (r[1:] != r[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first_of, earliest = np.empty(len(by), bool), np.empty(len(by), np.int64)
+    first_of[by] = fresh
+    if len(by):
+        earliest[by] = first[by][np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    beyond = np.where(first_of, first, np.maximum(first, earliest + size))
+    return {"row": row, "h1": h1.view(np.int64), "h2": h2.view(np.int64), "start": w["starts"][first], "own": w["starts"][np.minimum(beyond, last)], "end": w["ends"][last], "fresh": first_of}
+
+
+def passages(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = PASSAGE_WORDS) -> DataFrame:
+    """Pieces of every stretch of ``words_`` words or more that stands earlier, which together cover it: doc_id, level, start, end,
+    kept_doc_id."""
+    source = bounded(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            for a, b in chunks(offsets):
+                part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                if (w := windows(part, own, words_)) is not None:
+                    yield w, keys[a:b], part, own
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for w, *_ in parts(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(w["name"].view(np.int64)), pa.array(w["digest"].view(np.int64))], ["h1", "h2"])
+
+    named = source.mapInArrow(names, "h1 bigint, h2 bigint").groupBy("h1").agg(F.min("h2").alias("a"), F.max("h2").alias("b"), F.count("*").alias("n")).where("n > 1")
+    bit = F.expr("shiftleft(1L, cast(h1 & 63 as int))")
+    word = F.shiftright(F.col("h1").bitwiseAND(F.lit(NAME_BITS - 1)), 6).alias("word")
+    marks = named.select(word, bit.alias("several"), F.when(F.col("a") != F.col("b"), bit).otherwise(F.lit(0).cast("bigint")).alias("various"))
+    marks = marks.groupBy("word").agg(F.bit_or("several").alias("several"), F.bit_or("various").alias("various")).toArrow()
+    seen = np.zeros((2, NAME_BITS >> 6), U64)
+    for i, c in enumerate(("several", "various")):
+        seen[i, marks["word"].to_numpy()] = marks[c].to_numpy().view(U64)
+    sent = docs.sparkSession.sparkContext.broadcast(seen)
+
+    def rows(places: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for w, keys, part, own in parts(batches):
+                u = pieces(w, words_, sent.value)
+                columns = [pa.array(keys[u["row"]]), pa.array(u["h1"]), pa.array(u["h2"])]
+                if places:
+                    point = np.zeros(len(part) + 1, np.int64)
+                    np.cumsum((part & 0xC0) != 0x80, out=point[1:])
+                    base = point[own[u["row"]]]
+                    columns += [*(pa.array((point[u[c]] - base).astype(np.int32)) for c in ("start", "own", "end")), pa.array(u["fresh"])]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "start", "own", "end", "fresh"][: len(columns)])
+
+        return source.mapInArrow(run, "doc_id bigint, h1 bigint, h2 bigint" + (", start int, own int, end int, fresh boolean" if places else ""))
+
+    many = rows(False).groupBy("h1", "h2").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "kept")
+    gone = rows(True).join(many, ["h1", "h2"]).where("doc_id > kept or not fresh")
+    back = lambda c: F.when(F.col(c) < LAST, F.col(c))
+    start = F.when(F.col("doc_id") > F.col("kept"), F.col("start")).otherwise(F.col("own"))
+    return gone.select(back("doc_id").alias("doc_id"), F.lit(PASSAGE).cast("tinyint").alias("level"), start.alias("start"), "end", back("kept").alias("kept_doc_id"))
+
+
+def everything(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits: int) -> DataFrame:
+    """Units and pieces of passages to remove."""
+    return repeats(docs, text, key, **limits).unionByName(passages(docs, text, key))
+
+
 def by_document(found: DataFrame) -> DataFrame:
-    """One row per document that loses units: counts, the documents that keep them, and the removed spans merged, as start:end."""
+    """One row per document that loses text: count of units (pieces of passages apart), the documents that keep what is removed, and the
+    removed spans merged, as start:end."""
     spans = F.array_sort(F.collect_list(F.struct("start", "end")))
-    grouped = found.groupBy("doc_id").agg(F.count("*").alias("n_units"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"), spans.alias("all"))
+    grouped = found.groupBy("doc_id").agg(F.count_if(F.col("level") < PASSAGE).alias("n_units"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"), spans.alias("all"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     merged = F.aggregate(
         "all",
@@ -125,8 +290,8 @@ def by_document(found: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits: int) -> DataFrame:
-    """The documents without the repeated units; all columns stay. Rows that share a doc_id lose the same spans."""
-    gone = by_document(repeats(docs, text, key, **limits)).select(F.col("doc_id").alias("_doc"), F.col("removed").alias("_removed"))
+    """The documents without the repeated units and passages; all columns stay. Rows that share a doc_id lose the same spans."""
+    gone = by_document(everything(docs, text, key, **limits)).select(F.col("doc_id").alias("_doc"), F.col("removed").alias("_removed"))
     cut_at = F.transform(F.split("_removed", ","), lambda x: F.split(x, ":").cast("array<int>"))
     left = F.aggregate(
         cut_at,
