@@ -5,7 +5,8 @@ digest the earliest ranked occurrence stays: that in the smallest doc_id, and th
 offsets in the original text are kept. A passage that is copied into running text is found by the sentences within it and, whatever its
 punctuation, by the runs of words within it that end where a word's hash says so.
 
-Units with fewer words than ``LINE_WORDS``, ``SENTENCE_WORDS`` or ``RUN_WORDS`` are left alone.
+Units with fewer words than ``LINE_WORDS``, ``SENTENCE_WORDS`` or ``RUN_WORDS`` are left alone, unless they have ``LINE_CHARS`` (lines) or
+``PART_CHARS`` (sentences, runs) characters.
 
 Passages are found apart from units (``passages``): every stretch of ``PASSAGE_WORDS`` words or more that stands earlier in the corpus is
 removed whole, wherever it begins and ends. All windows of so many words are named by the least hash of the short runs of words in them,
@@ -33,6 +34,8 @@ from matchcast.shared import bounded
 from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, powers, ragged, span_hashes, utf8, words
 
 LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 3, 5, 7
+#: Characters from which a line, or a sentence or run, is a unit however few its words.
+LINE_CHARS, PART_CHARS = 20, 40
 #: Least words of a passage, words of the runs that name its windows, and the level of its pieces.
 PASSAGE_WORDS, NAME_WORDS, PASSAGE = 50, 8, 3
 #: Words of more bytes are taken by their characters in passages.
@@ -63,6 +66,8 @@ def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words
     own = span_hashes(data, starts, ends)
     runs = np.ones(n, bool)
     runs[1:] = (rows[1:] != rows[:-1]) | (own[:-1] % U64(RUN_ENDS) == 0)
+    chars = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
     up, down = powers(n + 1)
     sums = []
     for salt in (U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)):
@@ -70,10 +75,10 @@ def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words
         np.cumsum(mix(own ^ salt) * up[:-1], out=total[1:])
         sums.append(total)
     found = []
-    for level, marks, least in ((0, breaks, line_words), (1, cuts, sentence_words), (2, runs, run_words)):
+    for level, marks, least, long in ((0, breaks, line_words, LINE_CHARS), (1, cuts, sentence_words, PART_CHARS), (2, runs, run_words, PART_CHARS)):
         first = np.flatnonzero(marks)
         last = np.r_[first[1:], n]
-        keep = last - first >= least
+        keep = (last - first >= least) | (chars[ends[last - 1]] - chars[starts[first]] >= long)
         first, last = first[keep], last[keep]
         size = (last - first).astype(U64) * U64(4) + U64(level)
         found.append((rows[first], np.full(len(first), level), *(mix((t[last] - t[first]) * down[first] + size) for t in sums), starts[first], ends[last - 1]))
