@@ -64,10 +64,11 @@ def joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", named(x["rank"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, text: str = "text", repository: str = "source", owner: str = "source", key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", repository: str = "source", owner: str = "source", key: str = "doc_id", keep: tuple[str, ...] = (), once: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: counts and digest of the base spans, all spans, those that are copied examples, and ``found``.
 
-    ``keep`` names columns that go along, which then come first."""
+    ``keep`` names columns that go along, which then come first. ``once`` names those of them that tell texts apart: copies of a text
+    then count as one row, of the least repository and owner."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = F.flatten(F.array(*(F.when(F.rlike(body, F.lit(gate)), spans(body, *rule)).otherwise(F.array().cast(FOUND)) for rule, gate in zip(BASE, GATES, strict=True))))
     kept = [F.col(c).alias(f"_keep_{c}") for c in keep]
@@ -77,8 +78,10 @@ def scan(docs: DataFrame, text: str = "text", repository: str = "source", owner:
     found = F.transform(F.concat("_base", "_live"), lambda x: F.struct(x["start"], x["rank"], x["end"], F.sha2(x["value"], 256).alias("hash")))
     rows = cut(rows.select(*(c for c in rows.columns if c[0] == "_" and c.startswith("_keep_")), "doc_id", "_repository", "_owner", found.alias("_found")).withColumn("_row", F.monotonically_increasing_id()))
 
-    seen = rows.where(F.size("_found") > 0).select("_row", "_repository", "_owner", F.explode(F.array_distinct(F.transform("_found", lambda x: x["hash"]))).alias("_hash"))
-    places = seen.groupBy("_hash", "_repository", "_owner").agg(F.count("*").alias("_n"))
+    texts = [f"_keep_{c}" for c in once]
+    seen = rows.where(F.size("_found") > 0).select("_row", *texts, "_repository", "_owner", F.explode(F.array_distinct(F.transform("_found", lambda x: x["hash"]))).alias("_hash"))
+    counted = seen.groupBy("_hash", *texts).agg(F.min("_repository").alias("_repository"), F.min("_owner").alias("_owner")) if once else seen
+    places = counted.groupBy("_hash", "_repository", "_owner").agg(F.count("*").alias("_n"))
     copied = places.groupBy("_hash").agg(F.countDistinct("_repository").alias("_repositories"), F.countDistinct("_owner").alias("_owners"))
     copied = copied.where((F.col("_repositories") > MOST_REPOSITORIES) | (F.col("_owners") > MOST_OWNERS))
     examples = seen.join(copied, "_hash").groupBy("_row").agg(F.collect_set("_hash").alias("_copied"))
@@ -105,13 +108,16 @@ def scan(docs: DataFrame, text: str = "text", repository: str = "source", owner:
 
 
 def redact(docs: DataFrame, text: str = "text", repository: str = "source", owner: str = "source") -> DataFrame:
-    """The documents with every found span but copied examples replaced by its kind in brackets; all columns stay.
+    """The documents with every base span, and every span of kind ``live``, replaced by its kind in brackets; all columns stay.
+
+    Base spans go even if their value is copied: a real secret may stand in texts of many owners. Owners count over distinct texts, so
+    copies of a text do not make its values examples.
 
     Spans depend on the text alone, so they are joined back by 128 bits of its hash, once per distinct text that has any."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     keyed = docs.select("*", F.xxhash64(body).alias("_h1"), F.xxhash64(F.lit(7), body).alias("_h2"))
-    found = scan(keyed, text, repository, owner, key="_h1", keep=("_h1", "_h2"))
-    spans_ = found.select("_h1", "_h2", F.filter("found", lambda x: ~x["copied"]).alias("_found")).where(F.size("_found") > 0)
+    found = scan(keyed, text, repository, owner, key="_h1", keep=("_h1", "_h2"), once=("_h1", "_h2"))
+    spans_ = found.select("_h1", "_h2", F.filter("found", lambda x: (x["kind"] != "live") | ~x["copied"]).alias("_found")).where(F.size("_found") > 0)
     spans_ = cut(spans_.groupBy("_h1", "_h2").agg(F.first("_found").alias("_found")))
     small = spans_.count() * 256 <= BROADCAST_BYTES
     left = F.aggregate(
