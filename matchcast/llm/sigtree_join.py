@@ -158,48 +158,65 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray,
     return docs.select("text").mapInArrow(run, "nid bigint, n bigint, first array<bigint>, late array<bigint>, sig binary")
 
 
+def partnered(t: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Places of those rows (token, salt, n, nid, comp), sorted by token, n and nid, that may have a partner."""
+    token, salt, n, nid, comp = t
+    m = len(token)
+    same = np.r_[False, token[1:] == token[:-1]]
+    fresh = ~(same & np.r_[False, nid[1:] == nid[:-1]])
+    at = np.flatnonzero(fresh)
+    token, salt, n, nid, comp = (x[at] for x in t)
+    m = len(at)
+    start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, m]))
+    mixed = (np.minimum.reduceat(comp, start) != np.maximum.reduceat(comp, start))[group]
+    near = np.zeros(m, bool)
+    if m > 1:
+        pair = (token[1:] == token[:-1]) & (n[:-1] * den >= n[1:] * num)
+        near[1:] |= pair
+        near[:-1] |= pair
+    return at[(salt >= 0) | mixed & near]
+
+
+def judged(batches: Iterator[pa.RecordBatch], num: int, den: int, most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows those that may have a partner, and all rows of a token of more than ``most``."""
+    held = np.zeros((5, 0), np.int64)
+    passed = None  # the token whose rows are all passed on
+
+    def out(t: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(t[i][at]) for i in (0, 2, 3, 4)], ["token", "n", "nid", "comp"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([c.to_numpy() for c in batch.columns])
+        if passed is not None:
+            rest = int(np.searchsorted(rows[0], passed, "right"))
+            if rest:
+                yield out(rows, np.arange(rest))
+                rows = rows[:, rest:]
+                if not rows.shape[1]:
+                    continue
+            passed = None
+        held = np.concatenate([held, rows], axis=1)
+        last = int(np.searchsorted(held[0], held[0, -1], "left"))
+        if last:
+            yield out(held[:, :last], partnered(held[:, :last], num, den))
+            held = held[:, last:]
+        elif held.shape[1] > most:
+            yield out(held, np.arange(held.shape[1]))
+            passed = int(held[0, -1])
+            held = held[:, :0]
+    if held.shape[1]:
+        yield out(held, partnered(held, num, den))
+
+
 def shared(entries: DataFrame, num: int, den: int) -> DataFrame:
     """Of rows (token, salt, n, nid, comp) those that may have a partner: another component has the token too, and a set next in size
     is near enough. One exchange of the tokens brings them together; rows of a frequent token, dealt by a salt, all stay."""
 
-    def kept(t: np.ndarray) -> np.ndarray:
-        token, salt, n, nid, comp = t
-        m = len(token)
-        same = np.r_[False, token[1:] == token[:-1]]
-        fresh = ~(same & np.r_[False, nid[1:] == nid[:-1]])
-        at = np.flatnonzero(fresh)
-        token, salt, n, nid, comp = (x[at] for x in t)
-        m = len(at)
-        start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, m]))
-        mixed = (np.minimum.reduceat(comp, start) != np.maximum.reduceat(comp, start))[group]
-        near = np.zeros(m, bool)
-        if m > 1:
-            pair = (token[1:] == token[:-1]) & (n[:-1] * den >= n[1:] * num)
-            near[1:] |= pair
-            near[:-1] |= pair
-        return at[(salt >= 0) | mixed & near]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "n", "nid", "comp"]
-        held = np.zeros((5, 0), np.int64)
-
-        def out(t: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(t[i][at]) for i in (0, 2, 3, 4)], names)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
-            last = int(np.searchsorted(held[0], held[0, -1], "left"))
-            if last:
-                yield out(held[:, :last], kept(held[:, :last]))
-                held = held[:, last:]
-            elif held.shape[1] > HELD:
-                yield out(held, np.arange(held.shape[1]))
-                held = held[:, :0]
-        if held.shape[1]:
-            yield out(held, kept(held))
+        return judged(batches, num, den)
 
     dealt = entries.repartition(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token", "salt").sortWithinPartitions("token", "n", "nid")
     return dealt.select("token", "salt", "n", "nid", "comp").mapInArrow(run, "token bigint, n bigint, nid bigint, comp bigint")
