@@ -529,6 +529,26 @@ def repeated(rows: DataFrame) -> bool:
 def join(documents: DataFrame, text: str = "text", key: str = "doc_id", k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links) and n_links (how many other sets its own is linked
     with)."""
+    return named_join(documents, text, key, k, num, den)[0].drop("nid")
+
+
+def names(documents: DataFrame, text: str, k: int, salt: int) -> DataFrame:
+    """Adds the name of each row's set, as ``_nid``."""
+    named = [*documents.columns, "_nid"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(batch.num_columns - 1))
+            for a, b in chunks(offsets):
+                nid, _ = digests(*sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k), salt)
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:-1], pa.array(nid)], named)
+
+    columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in documents.schema)
+    return bounded(documents).select("*", F.col(text).cast("string").alias("_text")).mapInArrow(run, f"{columns}, _nid bigint")
+
+
+def named_join(documents: DataFrame, text: str, key: str, k: int, num: int, den: int) -> tuple[DataFrame, int]:
+    """``join`` with the name of each row's set, nid, and the salt of the names."""
     docs = bounded(documents).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     spark = docs.sparkSession
     seen, salt = cut(profile(docs, k, num, den, 0)), 0
@@ -586,19 +606,26 @@ def join(documents: DataFrame, text: str = "text", key: str = "doc_id", k: int =
     least = rows.where("n > 0").groupBy("nid").agg(F.min("doc_id").alias("least"))
     own = least.join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     named = own.join(own.groupBy("root").agg(F.min("least").alias("component_id")), "root").join(degree, "nid", "left").select("nid", "component_id", "n_links")
-    out = rows.where("n > 0").join(named, "nid").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
-    return out.unionByName(alone)
+    out = rows.where("n > 0").join(named, "nid").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "nid")
+    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"), "nid")
+    return out.unionByName(alone), salt
 
 
 def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents without those whose component has a lesser doc_id; all columns stay. Of rows with equal doc_id and text one stays;
     rows without doc_id stay."""
-    found = cut(join(documents, text, key, k, num, den).select("doc_id", "component_id"))
-    gone = cut(found.where("component_id < doc_id").select("doc_id").distinct())
-    small = gone.count() * 16 <= BROADCAST_BYTES
-    left = documents.join(F.broadcast(gone) if small else gone, documents[key].cast("bigint") == gone["doc_id"], "left_anti")
-    return left.where(F.col(key).isNull()).unionByName(left.where(F.col(key).isNotNull()).dropDuplicates([key, text])) if repeated(found) else left
+    found, salt = named_join(documents, text, key, k, num, den)
+    found = cut(found.select("doc_id", "component_id", "nid"))
+    again = repeated(found)
+    gone = cut(found.where("component_id < doc_id").select("doc_id", *(["nid"] if again else [])).distinct())
+    small = gone.count() * (24 if again else 16) <= BROADCAST_BYTES
+    gone = F.broadcast(gone) if small else gone
+    if not again:
+        return documents.join(gone, documents[key].cast("bigint") == gone["doc_id"], "left_anti")
+    rows = names(documents, text, k, salt)  # rows of one doc_id may be of several sets
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("nid").alias("_set"))
+    left = rows.join(gone, (F.col(key).cast("bigint") == F.col("_gone")) & (F.col("_nid") == F.col("_set")), "left_anti").drop("_nid")
+    return left.where(F.col(key).isNull()).unionByName(left.where(F.col(key).isNotNull()).dropDuplicates([key, text]))
 
 
 #: The same for the defaults of ``join`` in SQL: sets of near sizes that share a shingle are counted, and links followed.
