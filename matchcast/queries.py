@@ -418,8 +418,10 @@ def q43_target_statistics(spark, sf_dir):
 @query()
 def q44_boosted(spark, sf_dir):
     m = ordering.with_seq(_scored(spark, sf_dir).withColumn("day", text.days_since(F.col("date"), "1995-01-01").cast("double")), ORDER)
+    players = [f"player_{i + 1}" for i in range(10)]
+    m = m.select("*", *(F.get("players", i).alias(c) for i, c in enumerate(players)))
     parts = ordering.holdout(m, nested=True).withColumn("late", F.col("part") == "validation")
-    model = models.Booster(["day", "team_rank_1", "team_rank_2"], ["team_1", "team_2", "map"], "score", iterations=5, depth=3)
+    model = models.Booster(["day"], ["team_1", "team_2", *players, "map", "team_rank_1", "team_rank_2"], "score")
     model.fit(parts.where("part <> 'test'"), validation="late")
     return model.predict(parts.where("part = 'test'")).select("seq", "score", "p")
 
@@ -427,7 +429,7 @@ def q44_boosted(spark, sf_dir):
 @query()
 def q45_network(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").withColumn("y", F.col("label") / F.lit(9.0))
-    return network.predict(vectors, network.fit(vectors, "embedding", "y", ["vec_id"], scale=0.1, epochs=3, sample=20_000, batch=200), "embedding", ["vec_id"])
+    return network.predict(vectors, network.fit(vectors, "embedding", "y", ["vec_id"], batch=200), "embedding", ["vec_id"])
 
 
 @query(f"{_LIVE} SELECT round(avg(CASE WHEN abs(pred - score) <= 0.25 THEN 0.5 * (pred - score) * (pred - score) ELSE 0.25 * (abs(pred - score) - 0.125) END), 6) AS loss FROM s WHERE score IS NOT NULL")
