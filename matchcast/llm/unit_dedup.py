@@ -1,8 +1,8 @@
 """Substring deduplication by hashing of lines and of parts of lines.
 
 Units are normalised (A-Z in lower case, white space runs as one), digested to 128 bits, and grouped over the whole corpus. Of each
-digest the earliest ranked occurrence stays: that in the smallest doc_id, and there the first. All others are removed, and their
-offsets in the original text are kept. A passage that is copied into running text is found by the sentences within it and, whatever its
+digest the earliest ranked occurrence stays: that in the smallest doc_id (of rows that share it, in the first row), and there the
+first. All others are removed, and their offsets in the original text are kept. A passage that is copied into running text is found by the sentences within it and, whatever its
 punctuation, by the runs of words within it that end where a word's hash says so.
 
 Units with fewer words than ``LINE_WORDS``, ``SENTENCE_WORDS`` or ``RUN_WORDS`` are left alone, unless they have ``LINE_CHARS`` (lines) or
@@ -17,9 +17,13 @@ is a word there. Of a passage that repeats within a document and overlaps its fi
 The groups are aggregated (least doc_id, count) before the exchange, so a line of a third of all documents is one row
 per task; the occurrences are then joined to the repeated digests only, by an equi-join that Spark can split where it is skewed.
 
-Defined cases: null and empty texts have no units; null doc_ids rank last and are one document, as are rows that share a doc_id (the
-first occurrence in each stays); texts of any length are taken whole; other columns are ignored; an empty table gives an empty
-table of the same schema. Offsets are code points, end exclusive.
+Digests that repeat are marked in maps of a fixed ``NAME_BITS`` bits, which go to every worker, so that only units whose bit is set are
+exchanged with their offsets. Units that share a bit cost rows and change no result.
+
+Defined cases: null and empty texts have no units; null doc_ids rank last; rows that share a doc_id, or have none, are documents of
+their own, ranked by (doc_id, row), so of repeated rows all but one lose their units; texts of any length are taken whole; other columns
+are ignored, and may be named as ours are; an empty table gives an empty table of the same schema. Offsets are code points, end
+exclusive.
 """
 
 from __future__ import annotations
@@ -28,9 +32,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from matchcast.shared import bounded
+from matchcast.shared import bounded, cut
 from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, powers, ragged, span_hashes, utf8, words
 
 LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 3, 5, 7
@@ -92,36 +96,107 @@ def units(data: np.ndarray, offsets: np.ndarray, line_words: int, sentence_words
     return {"row": row, "level": level, "h1": h1.view(np.int64), "h2": h2.view(np.int64), "start": start, "end": end, "fresh": first_of}
 
 
-def unit_rows(docs: DataFrame, places: bool, line_words: int, sentence_words: int, run_words: int) -> DataFrame:
-    """All occurrences: doc_id and digest, with ``places`` also level, offsets, and whether it is the first in its document."""
+def places_of(docs: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
+    """The documents with their rank as columns ``_rank_doc`` and ``_rank_row``, and which of these tell rows apart.
+
+    The key alone does where no two rows share it. Else rows are numbered as well, in a copy in the shared folder, so that every later
+    pass sees the same numbers."""
+    ranked = docs.withColumn("_rank_doc", F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)))
+    if ranked.groupBy("_rank_doc").agg(F.count("*").alias("n")).where("n > 1").limit(1).isEmpty():
+        return ranked.withColumn("_rank_row", F.lit(0).cast("bigint")), ["_rank_doc"]
+    return cut(ranked.withColumn("_rank_row", F.monotonically_increasing_id())), ["_rank_doc", "_rank_row"]
+
+
+def place(at: list[str]) -> Column:
+    """What ranks occurrences: one number, or the pair in its order."""
+    return F.col(at[0]) if len(at) == 1 else F.struct(*at)
+
+
+def first(c: Column, at: list[str]) -> Column:
+    """The doc_id of a place."""
+    doc = c if len(at) == 1 else c[at[0]]
+    return F.when(doc < LAST, doc)
+
+
+def marked(names: DataFrame, *flags: Column) -> np.ndarray:
+    """Maps of ``NAME_BITS`` bits of the names h1: in the first those of all rows, in the others those of the rows with the flag."""
+    bit = F.expr("shiftleft(1L, cast(h1 & 63 as int))")
+    columns = [bit.alias("m0"), *(F.when(f, bit).otherwise(F.lit(0).cast("bigint")).alias(f"m{i + 1}") for i, f in enumerate(flags))]
+    marks = names.select(F.shiftright(F.col("h1").bitwiseAND(F.lit(NAME_BITS - 1)), 6).alias("word"), *columns)
+    found = marks.groupBy("word").agg(*(F.bit_or(f"m{i}").alias(f"m{i}") for i in range(len(columns)))).toArrow()
+    out = np.zeros((len(columns), NAME_BITS >> 6), U64)
+    for i in range(len(columns)):
+        out[i, found["word"].to_numpy()] = found[f"m{i}"].to_numpy().view(U64)
+    return out
+
+
+def holds(marks: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Whether the bit of each name is set."""
+    bit = names & U64(NAME_BITS - 1)
+    return (marks[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63)) & U64(1)).astype(bool)
+
+
+def portions(batches: Iterator[pa.RecordBatch], ranks: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Ranks, bytes and offsets of rows (ranks.., text), in portions of bounded bytes."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(ranks))
+        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(ranks)]
+        for a, b in chunks(offsets):
+            yield [k[a:b] for k in keys], data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+
+
+def points(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, *at: np.ndarray) -> list[pa.Array]:
+    """Code points before each byte offset, within its row."""
+    total = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=total[1:])
+    base = total[offsets[row]]
+    return [pa.array((total[x] - base).astype(np.int32)) for x in at]
+
+
+def typed(at: list[str], rest: str) -> str:
+    return ", ".join(f"{c} bigint" for c in at) + ", " + rest
+
+
+def unit_rows(ranked: DataFrame, at: list[str], text: str, limits: tuple[int, int, int], sent=None) -> DataFrame:
+    """Ranks and digest of all units; with the broadcast maps ``sent``, of those whose name is marked there, also level, offsets, and
+    whether the unit is the first of its digest in its row."""
+    names = [*at, "h1", "h2", *(() if sent is None else ("level", "start", "end", "fresh"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in chunks(offsets):
-                part = data[offsets[a] : offsets[b]]
-                own = offsets[a : b + 1] - offsets[a]
-                u = units(part, own, line_words, sentence_words, run_words)
-                columns = [pa.array(keys[a + u["row"]]), pa.array(u["h1"]), pa.array(u["h2"])]
-                if places:
-                    point = np.zeros(len(part) + 1, np.int64)
-                    np.cumsum((part & 0xC0) != 0x80, out=point[1:])
-                    base = point[own[u["row"]]]
-                    columns += [pa.array(u["level"].astype(np.int8)), pa.array((point[u["start"]] - base).astype(np.int32)), pa.array((point[u["end"]] - base).astype(np.int32)), pa.array(u["fresh"].astype(bool))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "level", "start", "end", "fresh"][: len(columns)])
+        for keys, data, offsets in portions(batches, len(at)):
+            u = units(data, offsets, *limits)
+            if sent is not None:
+                some = holds(sent.value[0], u["h1"].view(U64))
+                u = {k: v[some] for k, v in u.items()}
+            columns = [*(pa.array(k[u["row"]]) for k in keys), pa.array(u["h1"]), pa.array(u["h2"])]
+            if sent is not None:
+                columns += [pa.array(u["level"].astype(np.int8)), *points(data, offsets, u["row"], u["start"], u["end"]), pa.array(u["fresh"].astype(bool))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    source = ranked.select(*at, F.col(text).cast("string"))
+    return source.mapInArrow(run, typed(at, "h1 bigint, h2 bigint" + ("" if sent is None else ", level tinyint, start int, end int, fresh boolean")))
+
 
-    return docs.mapInArrow(run, "doc_id bigint, h1 bigint, h2 bigint" + (", level tinyint, start int, end int, fresh boolean" if places else ""))
+def ranked_repeats(ranked: DataFrame, at: list[str], text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """Every unit to remove: ranks, level, start, end, kept (the place that keeps it)."""
+    limits = line_words, sentence_words, run_words
+    groups = unit_rows(ranked, at, text, limits).groupBy("h1", "h2").agg(F.min(place(at)).alias("kept"), F.count("*").alias("n"))
+    many = cut(groups.where("n > 1").select("h1", "h2", "kept"))
+    sent = ranked.sparkSession.sparkContext.broadcast(marked(many))
+    gone = unit_rows(ranked, at, text, limits, sent).join(many, ["h1", "h2"]).where((place(at) > F.col("kept")) | ~F.col("fresh"))
+    return gone.select(*at, "level", "start", "end", "kept")
 
 
-def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """Every unit to remove: doc_id, level, start, end, kept_doc_id."""
-    source = bounded(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    groups = unit_rows(source, False, line_words, sentence_words, run_words).groupBy("h1", "h2").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n"))
-    many = groups.where("n > 1").select("h1", "h2", "kept")
-    gone = unit_rows(source, True, line_words, sentence_words, run_words).join(many, ["h1", "h2"]).where("doc_id > kept or not fresh")
-    back = lambda c: F.when(F.col(c) < LAST, F.col(c))
-    return gone.select(back("doc_id").alias("doc_id"), "level", "start", "end", back("kept").alias("kept_doc_id"))
+def named(found: DataFrame, at: list[str]) -> DataFrame:
+    """doc_id, row (null where the key alone tells rows apart), level, start, end, kept_doc_id."""
+    row = F.col(at[1]) if len(at) > 1 else F.lit(None).cast("bigint")
+    return found.select(first(place(at), at).alias("doc_id"), row.alias("row"), "level", "start", "end", first(F.col("kept"), at).alias("kept_doc_id"))
+
+
+def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits: int) -> DataFrame:
+    """Every unit to remove: doc_id, row, level, start, end, kept_doc_id."""
+    ranked, at = places_of(bounded(docs), key)
+    return named(ranked_repeats(ranked, at, text, **limits), at)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,9 +274,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> dict[str, np.nd
 def pieces(w: dict[str, np.ndarray], size: int, seen: np.ndarray) -> dict[str, np.ndarray]:
     """Those windows whose name is repeated, by the maps ``seen`` of bits of names that repeat and of those in various surroundings: row,
     digest, byte offsets, where they begin beyond the first of their digest in the row, and whether they are that."""
-    bit = w["name"] & U64(NAME_BITS - 1)
-    there = lambda m: (m[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63)) & U64(1)).astype(bool)
-    several, various = there(seen[0]), there(seen[1])
+    several, various = holds(seen[0], w["name"]), holds(seen[1], w["name"])
     one, each = np.flatnonzero(several & ~various), np.flatnonzero(several & various)
     count = w["count"][each]
     split = np.repeat(w["first"][each], count) + ragged(count)
@@ -222,65 +295,62 @@ def pieces(w: dict[str, np.ndarray], size: int, seen: np.ndarray) -> dict[str, n
     return {"row": row, "h1": h1.view(np.int64), "h2": h2.view(np.int64), "start": w["starts"][first], "own": w["starts"][np.minimum(beyond, last)], "end": w["ends"][last], "fresh": first_of}
 
 
-def passages(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = PASSAGE_WORDS) -> DataFrame:
-    """Pieces of every stretch of ``words_`` words or more that stands earlier, which together cover it: doc_id, level, start, end,
-    kept_doc_id."""
-    source = bounded(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("string").alias("text"))
+def ranked_passages(ranked: DataFrame, at: list[str], text: str, words_: int = PASSAGE_WORDS) -> DataFrame:
+    """Pieces of every stretch of ``words_`` words or more that stands earlier, which together cover it: ranks, level, start, end, kept."""
+    source = ranked.select(*at, F.col(text).cast("string"))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in chunks(offsets):
-                part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                if (w := windows(part, own, words_)) is not None:
-                    yield w, keys[a:b], part, own
+        for keys, data, offsets in portions(batches, len(at)):
+            if (w := windows(data, offsets, words_)) is not None:
+                yield w, keys, data, offsets
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w, *_ in parts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(w["name"].view(np.int64)), pa.array(w["digest"].view(np.int64))], ["h1", "h2"])
 
-    named = source.mapInArrow(names, "h1 bigint, h2 bigint").groupBy("h1").agg(F.min("h2").alias("a"), F.max("h2").alias("b"), F.count("*").alias("n")).where("n > 1")
-    bit = F.expr("shiftleft(1L, cast(h1 & 63 as int))")
-    word = F.shiftright(F.col("h1").bitwiseAND(F.lit(NAME_BITS - 1)), 6).alias("word")
-    marks = named.select(word, bit.alias("several"), F.when(F.col("a") != F.col("b"), bit).otherwise(F.lit(0).cast("bigint")).alias("various"))
-    marks = marks.groupBy("word").agg(F.bit_or("several").alias("several"), F.bit_or("various").alias("various")).toArrow()
-    seen = np.zeros((2, NAME_BITS >> 6), U64)
-    for i, c in enumerate(("several", "various")):
-        seen[i, marks["word"].to_numpy()] = marks[c].to_numpy().view(U64)
-    sent = docs.sparkSession.sparkContext.broadcast(seen)
+    groups = source.mapInArrow(names, "h1 bigint, h2 bigint").groupBy("h1").agg(F.min("h2").alias("a"), F.max("h2").alias("b"), F.count("*").alias("n"))
+    sent = ranked.sparkSession.sparkContext.broadcast(marked(groups.where("n > 1"), F.col("a") != F.col("b")))
 
     def rows(places: bool) -> DataFrame:
+        header = [*at, "h1", "h2", *(("start", "own", "end", "fresh") if places else ())]
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for w, keys, part, own in parts(batches):
+            for w, keys, data, offsets in parts(batches):
                 u = pieces(w, words_, sent.value)
-                columns = [pa.array(keys[u["row"]]), pa.array(u["h1"]), pa.array(u["h2"])]
+                columns = [*(pa.array(k[u["row"]]) for k in keys), pa.array(u["h1"]), pa.array(u["h2"])]
                 if places:
-                    point = np.zeros(len(part) + 1, np.int64)
-                    np.cumsum((part & 0xC0) != 0x80, out=point[1:])
-                    base = point[own[u["row"]]]
-                    columns += [*(pa.array((point[u[c]] - base).astype(np.int32)) for c in ("start", "own", "end")), pa.array(u["fresh"])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "start", "own", "end", "fresh"][: len(columns)])
+                    columns += [*points(data, offsets, u["row"], u["start"], u["own"], u["end"]), pa.array(u["fresh"])]
+                yield pa.RecordBatch.from_arrays(columns, header)
+
+        return source.mapInArrow(run, typed(at, "h1 bigint, h2 bigint" + (", start int, own int, end int, fresh boolean" if places else "")))
+
+    many = rows(False).groupBy("h1", "h2").agg(F.min(place(at)).alias("kept"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "kept")
+    later = place(at) > F.col("kept")
+    gone = rows(True).join(many, ["h1", "h2"]).where(later | ~F.col("fresh"))
+    return gone.select(*at, F.lit(PASSAGE).cast("tinyint").alias("level"), F.when(later, F.col("start")).otherwise(F.col("own")).alias("start"), "end", "kept")
+
+
+def passages(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = PASSAGE_WORDS) -> DataFrame:
+    """Pieces of every stretch of ``words_`` words or more that stands earlier, which together cover it: doc_id, row, level, start, end,
+    kept_doc_id."""
+    ranked, at = places_of(bounded(docs), key)
+    return named(ranked_passages(ranked, at, text, words_), at)
 
-        return source.mapInArrow(run, "doc_id bigint, h1 bigint, h2 bigint" + (", start int, own int, end int, fresh boolean" if places else ""))
 
-    many = rows(False).groupBy("h1", "h2").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "kept")
-    gone = rows(True).join(many, ["h1", "h2"]).where("doc_id > kept or not fresh")
-    back = lambda c: F.when(F.col(c) < LAST, F.col(c))
-    start = F.when(F.col("doc_id") > F.col("kept"), F.col("start")).otherwise(F.col("own"))
-    return gone.select(back("doc_id").alias("doc_id"), F.lit(PASSAGE).cast("tinyint").alias("level"), start.alias("start"), "end", back("kept").alias("kept_doc_id"))
+def ranked_everything(ranked: DataFrame, at: list[str], text: str, **limits: int) -> DataFrame:
+    return named(ranked_repeats(ranked, at, text, **limits).unionByName(ranked_passages(ranked, at, text)), at)
 
 
 def everything(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits: int) -> DataFrame:
     """Units and pieces of passages to remove."""
-    return repeats(docs, text, key, **limits).unionByName(passages(docs, text, key))
+    return ranked_everything(*places_of(bounded(docs), key), text, **limits)
 
 
 def by_document(found: DataFrame) -> DataFrame:
-    """One row per document that loses text: count of units (pieces of passages apart), the documents that keep what is removed, and the
-    removed spans merged, as start:end."""
+    """One row per document that loses text: count of units (pieces of passages apart), the documents that keep what is removed, the
+    removed spans merged, as start:end, and its row where rows share a doc_id."""
     spans = F.array_sort(F.collect_list(F.struct("start", "end")))
-    grouped = found.groupBy("doc_id").agg(F.count_if(F.col("level") < PASSAGE).alias("n_units"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"), spans.alias("all"))
+    grouped = found.groupBy("doc_id", "row").agg(F.count_if(F.col("level") < PASSAGE).alias("n_units"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"), spans.alias("all"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     merged = F.aggregate(
         "all",
@@ -291,18 +361,22 @@ def by_document(found: DataFrame) -> DataFrame:
         ).otherwise(F.concat(a, F.array(x))),
     )
     kept = grouped.withColumn("removed", merged)
-    return kept.select("doc_id", "n_units", F.aggregate("removed", F.lit(0), lambda a, x: a + x["end"] - x["start"]).cast("bigint").alias("removed_chars"), "kept_doc_ids", F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("removed"))
+    return kept.select("doc_id", "n_units", F.aggregate("removed", F.lit(0), lambda a, x: a + x["end"] - x["start"]).cast("bigint").alias("removed_chars"), "kept_doc_ids", F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("removed"), "row")
 
 
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits: int) -> DataFrame:
-    """The documents without the repeated units and passages; all columns stay. Rows that share a doc_id lose the same spans."""
-    gone = by_document(everything(docs, text, key, **limits)).select(F.col("doc_id").alias("_doc"), F.col("removed").alias("_removed"))
-    cut_at = F.transform(F.split("_removed", ","), lambda x: F.split(x, ":").cast("array<int>"))
+    """The documents without the repeated units and passages; all columns stay, whatever their names."""
+    packed = bounded(docs).select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("document"))
+    packed = packed.select("document", F.col("document").getField(key).alias("doc_id"), F.col("document").getField(text).cast("string").alias("text"))
+    ranked, at = places_of(packed, "doc_id")
+    gone = by_document(ranked_everything(ranked, at, "text", **limits)).select(F.coalesce("doc_id", F.lit(LAST)).alias("_rank_doc"), F.coalesce("row", F.lit(0)).alias("_rank_row"), "removed")
+    cut_at = F.transform(F.split("removed", ","), lambda x: F.split(x, ":").cast("array<int>"))
     left = F.aggregate(
         cut_at,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
-        lambda a, x: F.struct(x[1].alias("at"), F.concat(a["text"], F.substring(F.col(text), a["at"] + 1, x[0] - a["at"])).alias("text")),
-        lambda a: F.concat(a["text"], F.substring(F.col(text), a["at"] + 1, F.length(text))),
+        lambda a, x: F.struct(x[1].alias("at"), F.concat(a["text"], F.substring(F.col("text"), a["at"] + 1, x[0] - a["at"])).alias("text")),
+        lambda a: F.concat(a["text"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
     )
-    joined = docs.join(gone, docs[key].eqNullSafe(gone["_doc"]), "left")
-    return joined.select(*(F.when(F.col("_removed").isNotNull(), left).otherwise(F.col(c)).alias(c) if c == text else docs[c] for c in docs.columns))
+    joined = ranked.join(gone, ["_rank_doc", "_rank_row"], "left")
+    own = F.col("document")
+    return joined.select(*(F.when(F.col("removed").isNotNull(), left).otherwise(own.getField(c)).alias(c) if c == text else own.getField(c).alias(c) for c in docs.columns))

@@ -17,6 +17,22 @@ ROWS = [
 ]
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string"
 
+_P = " ".join(f"passage{i}" for i in range(60))
+#: Rows that share a doc_id but not a text, rows without doc_id, and repeated rows, with lines and a passage that several have.
+SHARED = [
+    (1, "A line of several words stands here.\nand the first text goes on", "en", "a", 1, "x"),
+    (2, "Completely other text that must stay untouched here now", "en", "a", 2, "x"),
+    (2, "a line of several words stands here.\nthis one is another text", "en", "b", 3, "y"),
+    (2, "a line of several words stands here.\nthis one is another text", "en", "b", 3, "y"),
+    (3, f"Words before {_P} and words after", None, None, 4, "z"),
+    (3, f"Other words {_P} then an end", "de", "c", 5, "z"),
+    (None, "A line of several words stands here.\nwithout a number", "en", "a", 6, "x"),
+    (None, "A line of several words stands here.\nwithout a number", "en", "a", 6, "x"),
+    (None, "Only this row has these words in it, and no number", "fr", "d", 7, None),
+    (5, None, None, None, None, None),
+    (5, "", "en", "a", 0, "x"),
+]
+
 
 def frame(spark, rows=None):
     return spark.createDataFrame(ROWS if rows is None else rows, SCHEMA)
