@@ -2,13 +2,14 @@
 
 The class counts of the indicators come from all labelled training rows, in one aggregation; their log-count ratios scale the
 indicators. A linear hinge-loss model on the scaled indicators is fit by dual coordinate descent on ``SAMPLE`` labelled rows at
-most, chosen by the hash of their key, and its margins are turned into chances by a logistic curve fit on a part of that sample
-which the model itself has not seen.
+most, those of the least hash of key and text, repeated rows once. Only these go to the one task that fits, which takes them in the
+order of that hash, so the model does not depend on how the table is laid out. Its margins are turned into chances by a logistic curve
+fit on a part of that sample which the model itself has not seen.
 
 Defined cases: null and empty texts have no indicators and get the model's score for that; repeated rows get equal results; of several
 labels of one key the lowest counts; rows without label do not train; texts of any length are read whole; with training rows of one
-class only, or none, every score is that class's share (0.5 with none); other columns are ignored; an empty table gives an empty
-table of the same schema.
+class only, or none, every score is that class's share (0.5 with none); a score equal to a limit passes it (``select``, and the query's
+``predicted`` at 0.3); other columns are ignored; an empty table gives an empty table of the same schema.
 """
 
 from __future__ import annotations
@@ -140,15 +141,26 @@ class Model:
 
 
 def joined(docs: DataFrame, labels: DataFrame, text: str, key: str) -> DataFrame:
-    """(y, text) of labelled rows. Labels are sent to all executors only where their count shows that they are small."""
+    """(_key, y, text) of labelled rows. Labels are sent to all executors only where their count shows that they are small."""
     small = labels.count() * 16 <= BROADCAST_BYTES
-    return bounded(docs).select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text")).join(F.broadcast(labels) if small else labels, "_key").select("y", "text")
+    return bounded(docs).select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text")).join(F.broadcast(labels) if small else labels, "_key").select("_key", "y", "text")
+
+
+def chosen(rows: DataFrame, sample: int) -> DataFrame:
+    """(y, text) of the ``sample`` rows of (_key, y, text) with the least hash of key and text, in one partition and in that order.
+
+    The limit comes from the hashes alone; rows beyond it stay where they are, and repeated rows become one in each task."""
+    hashed = rows.withColumn("_h", F.xxhash64("_key", "text"))
+    last = hashed.groupBy("_h").agg(F.first("y").alias("y")).orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    own = hashed.where(F.col("_h") <= F.lit(last)) if last is not None else hashed.limit(0)
+    return own.groupBy("_h").agg(F.min("y").alias("y"), F.min("text").alias("text")).repartition(1).sortWithinPartitions("_h").select(F.col("y").cast("int"), "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
     """``labels`` has the training rows only: key and label 0 or 1."""
     usable = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(label).cast("int").alias("y"))
-    found = class_counts(joined(docs, usable, text, key)).toArrow().to_pandas()
+    rows_ = joined(docs, usable, text, key)
+    found = class_counts(rows_.select("y", "text")).toArrow().to_pandas()
     table, rows = np.zeros((2, 1 << BITS)), np.zeros(2)
     for c in (0, 1):
         own = found[found.y == c]
@@ -182,9 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         slope, offset = logistic(margin, y[held] if len(set(y[held])) == 2 else y[order])
         yield pa.RecordBatch.from_arrays([pa.array([blended.astype("<f8").tobytes()]), pa.array([float(blend_bias)]), pa.array([slope]), pa.array([offset])], ["w", "bias", "slope", "offset"])
 
-    chosen = usable.orderBy(F.xxhash64("_key"), "_key").limit(sample)
-    rows_ = joined(docs, chosen, text, key).select(F.col("y").cast("int"), "text").coalesce(1)
-    got = rows_.mapInArrow(train, "w binary, bias double, slope double, offset double").first()
+    got = chosen(rows_, sample).mapInArrow(train, "w binary, bias double, slope double, offset double").first()
     return Model(ratio, np.frombuffer(got["w"], "<f8"), got["bias"], got["slope"], got["offset"])
 
 
