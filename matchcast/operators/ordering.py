@@ -45,10 +45,10 @@ def holdout(df: DataFrame, share: float = 0.07, nested: bool = False) -> DataFra
 
 
 def rolling_folds(df: DataFrame, folds: int = 4, train: int = 6000, validation: int = 500, step: int = 1000) -> DataFrame:
-    """Rows of each fold, with fold and part; the first fold is the latest. Windows are counted from the end, and reach back
-    ``step`` (folds - 1) rows behind the latest validation window."""
+    """Rows of each fold, with fold and part; the last fold is the latest. In places from the end (0 is last), the validation window of
+    fold f begins at ``step (folds - 1 - f) + validation - 1``, and the train window follows it, further back."""
     rows = counted(df)
-    start = step * (folds - 1) + validation
+    start = step * (folds - 1) + validation - 1
     found = []
     for f in range(folds):
         low = start - step * f  # least k of the train window

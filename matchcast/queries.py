@@ -162,8 +162,8 @@ def q14_ordered_holdout(spark, sf_dir):
 
 
 @query("""WITH n AS (SELECT *, count(*) OVER () - row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS k FROM orders), f AS (SELECT unnest(range(4)) AS fold)
-SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN k >= 4000 - 1000 * fold THEN 'train' ELSE 'validation' END AS part, count(*) AS n, round(avg(o_totalprice), 4) AS mean, min(k) AS first_k, max(k) AS last_k
-FROM n, f WHERE k BETWEEN 3500 - 1000 * fold AND 9999 - 1000 * fold GROUP BY 1, 2""")
+SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN k >= 3999 - 1000 * fold THEN 'train' ELSE 'validation' END AS part, count(*) AS n, round(avg(o_totalprice), 4) AS mean, min(k) AS first_k, max(k) AS last_k
+FROM n, f WHERE k BETWEEN 3499 - 1000 * fold AND 9998 - 1000 * fold GROUP BY 1, 2""")
 def q15_rolling_folds(spark, sf_dir):
     orders = ordering.with_seq(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"])
     return ordering.rolling_folds(orders).groupBy("fold", "part").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean"), F.min("k").alias("first_k"), F.max("k").alias("last_k"))

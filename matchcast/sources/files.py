@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from matchcast.shared import shared_dir
+from matchcast.shared import fresh_dir as scratch, remove
 
 #: Tokens that some readers take for missing. Off by default: a name may be one of them.
 NULL_TOKENS = ("", "NA", "N/A", "NaN", "nan", "null", "None", "<NA>")
@@ -36,15 +36,52 @@ def write_csv(df: DataFrame, path: str, index: bool = False) -> str:
         df = with_seq(df, names).select((F.col("seq") - 1).alias("seq"), *names)
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.option("header", True).csv(beside)
-    jvm = spark.sparkContext._jvm
-    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not put {beside} in place of {path}")
+    swap(spark, beside, path)
     return path
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share."""
-    return f"{shared_dir(spark).rstrip('/')}/matchcast-{name}-{uuid.uuid4().hex}"
+def _at(spark: SparkSession, *paths: str):
+    """The file system of the first path, and all paths."""
+    found = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return found[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), *found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _at(spark, path)
+    return fs.exists(place)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder to a name that is free."""
+    fs, a, b = _at(spark, source, target)
+    fs.mkdirs(b.getParent())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise OSError(f"could not put {source} in place of {target}")
+
+
+def swap(spark: SparkSession, beside: str, path: str) -> None:
+    """Puts a complete folder in place of ``path``. The old one stays aside until then, from where ``settle`` takes it back."""
+    path = path.rstrip("/")
+    settle(spark, path)
+    old = f"{path}.old"
+    if exists(spark, path):
+        move(spark, path, old)
+    try:
+        move(spark, beside, path)
+    except Exception:
+        settle(spark, path)
+        raise
+    remove(spark, old)
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Ends a swap that was broken off: the old folder comes back where the new one is not in place."""
+    old = f"{path.rstrip('/')}.old"
+    if exists(spark, old):
+        if exists(spark, path):
+            remove(spark, old)
+        else:
+            move(spark, old, path)
+
+
+__all__ = ["NULL_TOKENS", "exists", "move", "read_csv", "scratch", "settle", "swap", "write_csv"]

@@ -103,7 +103,7 @@ def extract(pages: DataFrame, read: Callable[[Node], list[dict]], schema: str, k
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
                     found += [{key: k, **r} for r in read(tree(raw))]
-                except (LookupError, ValueError) as e:
+                except (LookupError, ValueError, TypeError, AttributeError) as e:
                     found.append({key: k, "missing": str(e) or type(e).__name__})
             yield pa.RecordBatch.from_pylist(found, schema=arrow)
 

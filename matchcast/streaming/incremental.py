@@ -14,10 +14,15 @@ def append_day(history: DataFrame, new: DataFrame, ref: str, origin: str, key: l
     """The history and those new rows of the day before ``ref`` that it does not have, with score and day offset.
 
     A second run adds nothing: rows are the same by the key. Scores depend on their own row, so old rows keep theirs."""
+    return append(history, new_rows(history, new, ref, origin, key))
+
+
+def new_rows(history: DataFrame, new: DataFrame, ref: str, origin: str, key: list[str] | None = None) -> DataFrame:
+    """What ``append_day`` adds."""
     key = key or KEY
     fresh = on_day_before(new, "date", ref).dropDuplicates(key)
     fresh = fresh.withColumn("score", live_score(F.col("score_1"), F.col("score_2"))).withColumn("delta_time", F.datediff("date", F.lit(origin).cast("date")))
-    return append(history, fresh.join(history.select(*key), key, "left_anti"))
+    return fresh.join(history.select(*key), key, "left_anti")
 
 
 def stream_files(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType, origin: str, delay: str = "30 days") -> None:

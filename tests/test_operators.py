@@ -48,6 +48,15 @@ def test_holdout_sizes(spark, n):
     assert sum(got.values()) == n and got["test"] == test and got.get("validation", 0) == ordering.share_rows(n - test)
 
 
+def test_folds_equal_slices(spark):
+    """The windows are those of slices that step back from the end."""
+    x = list(range(12_000))
+    got = ordering.rolling_folds(ordering.with_seq(spark.range(12_000), ["id"])).select("fold", "part", "id").toPandas()
+    for f, (start, end, val) in enumerate([(-10000, -4000, -3500), (-9000, -3000, -2500), (-8000, -2000, -1500), (-7000, -1000, -500)]):
+        own = got[got.fold == f]
+        assert sorted(own[own.part == "train"].id) == sorted(x[end:start:-1]) and sorted(own[own.part == "validation"].id) == sorted(x[val:end:-1])
+
+
 def test_folds_are_disjoint_and_full(spark):
     df = ordering.with_seq(spark.range(12_000), ["id"])
     got = ordering.rolling_folds(df).groupBy("fold", "part").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).collect()
@@ -197,12 +206,59 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
 
 
-def test_nightly(spark, tmp_path):
-    days = [(dt.date(2021, 10, 5 + 4 * (i % 2)), f"t{i % 12}", f"t{(i + 1) % 7}", i % 17, 16, "Nuke") for i in range(120)]
-    new = spark.createDataFrame(days, "date date, team_1 string, team_2 string, score_1 int, score_2 int, map string")
-    history = incremental.append_day(spark.createDataFrame([], new.schema), new, "2021-10-06", "2021-10-01")
-    model = jobs.nightly(spark, history, new, "2021-10-10", "2021-10-01", str(tmp_path), iterations=2, depth=2)
-    assert model.model is not None and spark.read.parquet(str(tmp_path / "history")).count() > history.count()
+def _season(spark, last):
+    """Rows of every fourth day up to the n-th."""
+    days = [(dt.date(2021, 10, 5) + dt.timedelta(4 * d), f"t{i % 12}", f"t{(i + 1) % 7}", i % 17, 16, "Nuke") for d in range(last + 1) for i in range(60)]
+    return spark.createDataFrame(days, "date date, team_1 string, team_2 string, score_1 int, score_2 int, map string")
+
+
+def test_two_nights_from_the_own_folder(spark, tmp_path):
+    folder, options = str(tmp_path), {"iterations": 2, "depth": 2}
+    history = incremental.append_day(spark.createDataFrame([], _season(spark, 0).schema), _season(spark, 0), "2021-10-06", "2021-10-01")
+    n = history.count()
+    jobs.nightly(spark, history, _season(spark, 1), "2021-10-10", "2021-10-01", folder, **options)
+    assert jobs.history_of(spark, folder).count() == 2 * n
+    for _ in range(2):  # the second run of a night adds nothing
+        model = jobs.nightly(spark, spark.read.parquet(f"{folder}/history"), _season(spark, 2), "2021-10-14", "2021-10-01", folder, **options)
+        got = jobs.history_of(spark, folder)
+        assert got.count() == 3 * n and got.where("score is null").count() == history.where("score is null").count() * 3 and model.model is not None
+    assert models.Booster(["delta_time"], ["team_1", "team_2", "map"], "score").load(spark, f"{folder}/model").model is not None
+
+
+def test_a_night_that_fails_keeps_history_and_model(spark, tmp_path, monkeypatch):
+    folder, options = str(tmp_path), {"iterations": 2, "depth": 2}
+    history = incremental.append_day(spark.createDataFrame([], _season(spark, 0).schema), _season(spark, 0), "2021-10-06", "2021-10-01")
+    jobs.nightly(spark, history, _season(spark, 1), "2021-10-10", "2021-10-01", folder, **options)
+    before, n = sorted(p.name for p in (tmp_path / "model").rglob("part-*")), jobs.history_of(spark, folder).count()
+
+    def stop(*_, **__):
+        raise OSError("lost")
+
+    for module, name in ((files, "move"), (models.Booster, "fit"), (files, "swap")):
+        with monkeypatch.context() as m, pytest.raises(OSError):
+            m.setattr(module, name, stop)
+            jobs.nightly(spark, history, _season(spark, 2), "2021-10-14", "2021-10-01", folder, **options)
+        assert jobs.history_of(spark, folder).count() >= n and sorted(p.name for p in (tmp_path / "model").rglob("part-*")) == before
+    jobs.nightly(spark, history, _season(spark, 2), "2021-10-14", "2021-10-01", folder, **options)
+    assert jobs.history_of(spark, folder).count() == n + history.count()
+
+
+def test_a_swap_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch):
+    path, move, calls = str(tmp_path / "t"), files.move, []
+    files.write_csv(spark.createDataFrame([("03:00", "bo3", "E", "null", "b", "u")], UPCOMING), path)
+
+    def second(s, a, b):
+        calls.append(b)
+        if len(calls) == 2:
+            raise OSError("lost")
+        move(s, a, b)
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(files, "move", second)
+        files.write_csv(spark.createDataFrame([("04:00", "bo1", "E", "null", "b", "u")], UPCOMING), path)
+    assert files.read_csv(spark, path, UPCOMING).first()["time_of_the_match"] == "03:00"
+    files.write_csv(spark.createDataFrame([("05:00", "bo1", "E", "null", "b", "u")], UPCOMING), path)
+    assert [r.time_of_the_match for r in files.read_csv(spark, path, UPCOMING).collect()] == ["05:00"]
 
 
 def test_whole_numbers_of_origin(spark):
