@@ -1,12 +1,15 @@
 """Animated GIF as a media column: texts stored as palette samples, and a decoder of timed frames with colour histograms.
 
-A payload is stored as an animation of frames of ``WIDTH`` samples by up to ``ROWS`` rows under a palette of 256 greys: each
-frame's LZW stream carries the payload's next bytes. The decoder reads any GIF87a or GIF89a: it decodes LZW code streams, applies
-global and local palettes, interlacing, transparency and the disposal rules, and gives the canvas after each frame.
+A payload is stored as an animation of frames of ``WIDTH`` samples by up to ``ROWS`` rows under a palette of 256 colours: each
+frame's LZW stream carries the payload's next bytes, and is cleared before the next is drawn. The decoder reads any GIF87a or GIF89a: it
+decodes LZW code streams, applies global and local palettes, interlacing, transparency and the disposal rules, and gives the canvas as
+shown with each frame, its time and its colour histogram.
 
 Defined cases: null text is empty; an empty text is one row of spaces; equal texts give equal bytes and values; texts of any
-length are stored whole; other columns are ignored; an empty table gives an empty table of the same schema. Bytes that are not a
-GIF raise ``ValueError`` in ``decode``; ``frames`` gives no rows for them and for nulls.
+length are stored whole; other columns are ignored; an empty table gives an empty table of the same schema. ``decode`` takes any bytes:
+those that are no GIF, break off within a block, or ask for a canvas of more than ``CANVAS`` samples raise ``ValueError``; samples that a
+code stream lacks are transparent or 0, images beyond the screen are cropped to it, colours that a palette lacks are black. ``frames``
+gives no rows for bytes that ``decode`` refuses, and for nulls.
 """
 
 from __future__ import annotations
@@ -24,9 +27,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from matchcast.shared import bounded
 
-#: Samples in a row, most rows of a frame, hundredths of a second that each frame is shown, bins of a histogram.
-WIDTH, ROWS, DELAY, BINS = 192, 64, 4, 16
-GREYS = bytes(c for i in range(256) for c in (i, i, i))
+#: Samples in a row, most rows of a frame, hundredths of a second that each frame is shown, bins of a histogram per channel.
+WIDTH, ROWS, DELAY, BINS = 192, 64, 4, 8
+#: Most samples of a screen that is drawn, and most samples of all frames together.
+CANVAS, SAMPLES = 1 << 24, 1 << 28
+#: The palette of stored texts: a sample's bits 5-7 are its red, 2-4 its green, 0-1 its blue.
+COLOURS = bytes(c for i in range(256) for c in ((i >> 5) * 255 // 7, (i >> 2 & 7) * 255 // 7, (i & 3) * 255 // 3))
 
 
 @lru_cache(maxsize=8)
@@ -109,6 +115,8 @@ def lzw_decode(stream: bytes, depth: int, most: int) -> bytes:
         add, known = table.append, len(table)
         for code in value[:used].tolist():
             if last is None:
+                if code >= known:
+                    raise ValueError("LZW code out of range")
                 entry = table[code]
             else:
                 if code < known:
@@ -151,7 +159,7 @@ def payload(text: bytes) -> bytes:
 def encode(data: bytes, width: int = WIDTH, rows: int = ROWS, delay: int = DELAY) -> bytes:
     """An animation that carries the bytes, whose count is a multiple of ``width``, one frame after the other."""
     height = min(rows, len(data) // width)
-    out = [b"GIF89a", struct.pack("<HHBBB", width, height, 0xF7, 0, 0), GREYS]
+    out = [b"GIF89a", struct.pack("<HHBBB", width, height, 0xF7, 0, 0), COLOURS]
     for s in range(0, len(data), width * rows):
         part = data[s : s + width * rows]
         out.append(b"\x21\xf9\x04" + struct.pack("<BHB", 2 << 2, delay, 0) + b"\0")  # afterwards its place is cleared
@@ -176,15 +184,22 @@ class Frame:
     canvas: np.ndarray | None = field(default=None, repr=False)
 
 
+def part(data: bytes, at: int, n: int) -> bytes:
+    """``n`` bytes from a place on."""
+    if at + n > len(data):
+        raise ValueError("the file breaks off")
+    return data[at : at + n]
+
+
 def palette(data: bytes, at: int, flags: int) -> tuple[np.ndarray, int]:
     n = 2 << (flags & 7)
-    return np.frombuffer(data[at : at + 3 * n], np.uint8).reshape(-1, 3), at + 3 * n
+    return np.frombuffer(part(data, at, 3 * n), np.uint8).reshape(-1, 3), at + 3 * n
 
 
 def sub_blocks(data: bytes, at: int) -> tuple[bytes, int]:
     out = []
-    while at < len(data) and (n := data[at]):
-        out.append(data[at + 1 : at + 1 + n])
+    while n := part(data, at, 1)[0]:
+        out.append(part(data, at + 1, n))
         at += n + 1
     return b"".join(out), at + 1
 
@@ -194,34 +209,44 @@ def interlaced(rows: int) -> np.ndarray:
     return np.concatenate([np.arange(s, rows, k) for s, k in ((0, 8), (4, 8), (2, 4), (1, 2))])
 
 
-def decode(data: bytes, draw: bool = True) -> list[Frame]:
-    """Timed frames. With ``draw``, each has the canvas under the disposal and transparency rules."""
-    if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
+def rgb(colours: np.ndarray) -> np.ndarray:
+    """All 256 colours of a palette; those that it lacks are black."""
+    if len(colours) == 256:
+        return colours
+    out = np.zeros((256, 3), np.uint8)
+    out[: len(colours)] = colours
+    return out
+
+
+def decode(data: bytes, most: int = CANVAS) -> Iterator[Frame]:
+    """Timed frames, one after the other, each with the canvas under the disposal and transparency rules."""
+    if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
-    wide, high, flags, _, _ = struct.unpack("<HHBBB", data[6:13])
+    wide, high, flags, _, _ = struct.unpack("<HHBBB", part(data, 6, 7))
+    if wide * high > most:
+        raise ValueError("the screen is too large")
     common, at = palette(data, 13, flags) if flags & 0x80 else (np.zeros((0, 3), np.uint8), 13)
-    canvas = np.zeros((high, wide, 4), np.uint8) if draw else None
-    found: list[Frame] = []
-    now, disposal, delay, clear = 0, 0, 0, None
-    while at < len(data):
-        kind = data[at]
-        if kind == 0x3B:
-            break
+    canvas = np.zeros((high, wide, 4), np.uint8)
+    now, disposal, delay, clear, drawn = 0, 0, 0, None, 0
+    while at < len(data) and (kind := data[at]) != 0x3B:
         if kind == 0x21:
-            if data[at + 1] == 0xF9:
-                packed, delay, index = struct.unpack("<BHB", data[at + 3 : at + 7])
+            if part(data, at + 1, 1)[0] == 0xF9:
+                own, at = sub_blocks(data, at + 2)
+                packed, delay, index = struct.unpack("<BHB", part(own, 0, 4))
                 disposal, clear = packed >> 2 & 7, index if packed & 1 else None
-            _, at = sub_blocks(data, at + 2)
+            else:
+                _, at = sub_blocks(data, at + 2)
             continue
         if kind != 0x2C:
             raise ValueError("unknown block")
-        left, top, w, h, own = struct.unpack("<HHHHB", data[at + 1 : at + 10])
+        left, top, w, h, own = struct.unpack("<HHHHB", part(data, at + 1, 9))
         at += 10
-        colours = common
-        if own & 0x80:
-            colours, at = palette(data, at, own)
-        depth = data[at]
+        colours, at = palette(data, at, own) if own & 0x80 else (common, at)
+        depth = part(data, at, 1)[0]
         stream, at = sub_blocks(data, at + 1)
+        drawn += w * h
+        if not 1 <= depth <= 8 or w * h > most or drawn > SAMPLES:
+            raise ValueError("an image is out of bounds")
         flat = np.frombuffer(lzw_decode(stream, depth, w * h), np.uint8)
         if len(flat) < w * h:
             flat = np.r_[flat, np.full(w * h - len(flat), clear or 0, np.uint8)]
@@ -230,47 +255,43 @@ def decode(data: bytes, draw: bool = True) -> list[Frame]:
             straight = np.empty_like(samples)
             straight[interlaced(h)] = samples
             samples = straight
-        frame = Frame(now, delay * 10, left, top, w, h, disposal, clear, samples, colours)
-        if draw:
-            before = canvas.copy() if disposal == 3 else None
-            place = canvas[top : top + h, left : left + w]
-            seen = samples[: place.shape[0], : place.shape[1]]
-            rgba = np.full((*seen.shape, 4), 255, np.uint8)
-            rgba[..., :3] = np.r_[colours, np.zeros((256 - len(colours), 3), np.uint8)][seen]
-            shown = np.ones(seen.shape, bool) if clear is None else seen != clear
-            place[shown] = rgba[shown]
-            frame.canvas = canvas.copy()
-            if disposal == 2:
-                place[:] = 0
-            elif disposal == 3:
-                canvas[:] = before
-        found.append(frame)
+        before = canvas.copy() if disposal == 3 else None
+        place = canvas[top : top + h, left : left + w]
+        seen = samples[: place.shape[0], : place.shape[1]]
+        if clear is None:
+            place[..., :3], place[..., 3] = rgb(colours)[seen], 255
+        else:
+            shown = seen != clear
+            place[shown, :3], place[shown, 3] = rgb(colours)[seen[shown]], 255
+        yield Frame(now, delay * 10, left, top, w, h, disposal, clear, samples, colours, canvas.copy())
+        if disposal == 2:
+            place[:] = 0
+        elif disposal == 3:
+            canvas[:] = before
         now += delay * 10
         disposal, delay, clear = 0, 0, None
-    return found
 
 
-def histogram(samples: np.ndarray, colours: np.ndarray, transparent: int | None, bins: int = BINS) -> np.ndarray:
-    """Counts of shown samples by brightness (ITU-R 601 weights)."""
-    counts = np.bincount(samples.ravel(), minlength=256)[:256]
-    if transparent is not None:
-        counts[transparent] = 0
-    bright = np.zeros(256, np.int64)
-    bright[: len(colours)] = (colours.astype(np.int64) @ np.array([299, 587, 114])) // 1000
-    return np.bincount(bright * bins // 256, weights=counts, minlength=bins).astype(np.int64)
+def histogram(canvas: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """Counts of what is shown on a canvas by red, by green and by blue, ``bins`` each."""
+    flat = canvas.reshape(-1, 4)
+    shown = flat if flat[:, 3].all() else flat[flat[:, 3] > 0]
+    return np.concatenate([np.bincount(shown[:, c], minlength=256).reshape(bins, -1).sum(1) for c in range(3)])
 
 
 SCHEMA = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
 
 
 def stored(text: bytes) -> tuple:
-    """Stores one text, reads the stored bytes back and computes its features from what was read."""
+    """Stores one text, reads the stored bytes back and computes its features from the frames as they are shown."""
     media = encode(payload(text))
-    frames = decode(media, draw=False)
-    back = b"".join(f.samples.tobytes() for f in frames)
-    seen = sum(histogram(f.samples, f.palette, f.transparent) for f in frames)
-    feature = f"frames={len(frames)};ms={frames[-1].start_ms + frames[-1].delay_ms};grey={'/'.join(map(str, seen.tolist()))}"
-    return len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature
+    back, seen, n, end = [], 0, 0, 0
+    for f in decode(media):
+        back.append(f.samples.tobytes())
+        seen, n, end = seen + histogram(f.canvas), n + 1, f.start_ms + f.delay_ms
+    raw = b"".join(back)
+    feature = f"frames={n};ms={end};" + ";".join(f"{c}={'/'.join(map(str, x))}" for c, x in zip(("red", "green", "blue"), seen.reshape(3, -1).tolist(), strict=True))
+    return len(text), len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature
 
 
 def store(docs: DataFrame, text: str = "text", key: str = "doc_id", content: bool = False) -> DataFrame:
@@ -292,25 +313,25 @@ def store(docs: DataFrame, text: str = "text", key: str = "doc_id", content: boo
 
 
 FRAMES = "doc_id bigint, frame int, start_ms bigint, delay_ms bigint, left int, top int, width int, height int, disposal int, histogram array<bigint>, canvas binary"
+ARROW = pa.schema([("doc_id", pa.int64()), ("frame", pa.int32()), ("start_ms", pa.int64()), ("delay_ms", pa.int64()), ("left", pa.int32()), ("top", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("disposal", pa.int32()), ("histogram", pa.list_(pa.int64())), ("canvas", pa.binary())])
 
 
-def frames(media: DataFrame, column: str = "media", key: str = "doc_id") -> DataFrame:
-    """One row per timed frame of a column of GIFs: histogram of the drawn canvas, and its RGBA bytes."""
+def frames(media: DataFrame, column: str = "media", key: str = "doc_id", most: int = CANVAS) -> DataFrame:
+    """One row per timed frame of a column of GIFs: the colour histogram of the canvas as shown, and its RGBA bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("frame", pa.int32()), ("start_ms", pa.int64()), ("delay_ms", pa.int64()), ("left", pa.int32()), ("top", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("disposal", pa.int32()), ("histogram", pa.list_(pa.int64())), ("canvas", pa.binary())])
         for batch in batches:
             for key_, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if not raw.is_valid:
+                    continue
+                data = raw.as_py()
                 try:
-                    found = decode(raw.as_py()) if raw.is_valid else []
+                    for _ in decode(data, most):  # whole, or no row at all
+                        pass
                 except ValueError:
-                    found = []
-                rows = []
-                for i, f in enumerate(found):
-                    shown = f.canvas[..., 3] > 0
-                    bright = (f.canvas[..., :3][shown].astype(np.int64) @ np.array([299, 587, 114])) // 1000
-                    rows.append((key_, i, f.start_ms, f.delay_ms, f.left, f.top, f.width, f.height, f.disposal, np.bincount(bright * BINS // 256, minlength=BINS).tolist(), f.canvas.tobytes()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+                    continue
+                for i, f in enumerate(decode(data, most)):
+                    row = key_, i, f.start_ms, f.delay_ms, f.left, f.top, f.width, f.height, f.disposal, histogram(f.canvas).tolist(), f.canvas.tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, ARROW.types, strict=True)], schema=ARROW)
 
     return bounded(media).select(F.col(key).cast("bigint").alias("doc_id"), F.col(column).cast("binary").alias("media")).mapInArrow(run, FRAMES)

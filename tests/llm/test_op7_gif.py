@@ -15,7 +15,7 @@ SAMPLE = bytes.fromhex("47494638396" "10a000a00910000ffffffff00000000ff00000021f
 
 
 def test_known_file():
-    frame_ = op.decode(SAMPLE)[0]
+    frame_ = next(op.decode(SAMPLE))
     want = ["1111122222"] * 3 + ["1110000222"] * 2 + ["2220000111"] * 2 + ["2222211111"] * 3
     assert ["".join(map(str, r)) for r in frame_.samples.tolist()] == want
     assert frame_.canvas[0, 0].tolist() == [255, 0, 0, 255] and frame_.canvas[0, 9].tolist() == [0, 0, 255, 255]
@@ -32,7 +32,7 @@ def test_codes_round_trip(data, times):
 def test_payload_round_trip(data):
     whole = op.payload(data)
     assert len(whole) % op.WIDTH == 0 and len(whole) > 0 and whole.startswith(data)
-    frames = op.decode(op.encode(whole), draw=False)
+    frames = [*op.decode(op.encode(whole))]
     assert b"".join(f.samples.tobytes() for f in frames) == whole and all(f.start_ms == i * f.delay_ms for i, f in enumerate(frames))
 
 
@@ -48,7 +48,7 @@ def image(frames, size=(4, 2), table=((9, 9, 9), (255, 0, 0), (0, 255, 0), (0, 0
 
 def test_disposal_and_transparency():
     red, hole = [[1, 1], [1, 1]], [[2, 0], [0, 2]]
-    found = op.decode(image([(0, 0, [[3] * 4, [3] * 4], 1, None, False), (0, 0, red, 3, None, False), (1, 0, hole, 2, 0, False), (3, 0, [[1]], 0, None, False)]))
+    found = list(op.decode(image([(0, 0, [[3] * 4, [3] * 4], 1, None, False), (0, 0, red, 3, None, False), (1, 0, hole, 2, 0, False), (3, 0, [[1]], 0, None, False)])))
     blue = [0, 0, 255, 255]
     assert found[1].canvas[0, 0].tolist() == [255, 0, 0, 255] and found[1].canvas[0, 2].tolist() == blue
     assert found[2].canvas[0, 0].tolist() == blue and found[2].canvas[0, 1].tolist() == [0, 255, 0, 255] and found[2].canvas[0, 2].tolist() == blue
@@ -57,15 +57,93 @@ def test_disposal_and_transparency():
 
 def test_interlace():
     rows = [[i % 4] * 4 for i in range(11)]
-    assert op.decode(image([(0, 0, rows, 0, None, True)], (4, 11)))[0].samples.tolist() == rows
+    assert next(op.decode(image([(0, 0, rows, 0, None, True)], (4, 11)))).samples.tolist() == rows
 
 
 def test_not_a_gif(spark):
     with pytest.raises(ValueError):
-        op.decode(b"GIF88a whatever")
+        [*op.decode(b"GIF88a whatever")]
     media = spark.createDataFrame([(1, b"no"), (2, None), (3, op.encode(op.payload(b"x" * 20_000)))], "doc_id bigint, media binary")
     got = op.frames(media).collect()
-    assert [r.doc_id for r in got] == [3, 3] and sum(got[0].histogram) == got[0].width * got[0].height
+    assert [r.doc_id for r in got] == [3, 3] and sum(got[0].histogram) == 3 * got[0].width * got[0].height
+
+
+def plain(data):
+    """(samples, delay, RGB of the canvas) of each frame of a file with a palette for all and no interlacing: bit by bit, by the format."""
+    wide, high = data[6] | data[7] << 8, data[8] | data[9] << 8
+    table, at, out, delay = [tuple(data[13 + 3 * i : 16 + 3 * i]) for i in range(2 << (data[10] & 7))], 13 + 3 * (2 << (data[10] & 7)), [], 0
+    screen = [None] * (wide * high)
+    while data[at] != 0x3B:
+        if data[at] == 0x21:
+            assert data[at + 1 : at + 3] == b"\xf9\x04" and data[at + 3] >> 2 & 7 == 2
+            delay, at = data[at + 4] | data[at + 5] << 8, at + 8
+            continue
+        w, h, depth = data[at + 5] | data[at + 6] << 8, data[at + 7] | data[at + 8] << 8, data[at + 10]
+        at, raw = at + 11, b""
+        while data[at]:
+            raw, at = raw + data[at + 1 : at + 1 + data[at]], at + 1 + data[at]
+        at, whole, bit, size, words, last, flat = at + 1, int.from_bytes(raw, "little"), 0, depth + 1, {}, None, []
+        while True:
+            code = whole >> bit & (1 << size) - 1
+            bit += size
+            if code == 1 << depth:
+                words, size, last = {i: (i,) for i in range(1 << depth)} | {(1 << depth) + k: () for k in (0, 1)}, depth + 1, None
+                continue
+            if code == (1 << depth) + 1:
+                break
+            entry = words[code] if code in words else last + last[:1]
+            if last is not None and len(words) < 4096:
+                words[len(words)] = last + entry[:1]
+                size = max(size, min(12, len(words).bit_length()))
+            flat += entry
+            last = entry
+        assert len(flat) == w * h and w == wide
+        screen = [table[flat[i]] if i < len(flat) else None for i in range(wide * high)]  # the place of the frame before is cleared
+        out.append((bytes(flat), delay * 10, screen))
+    return out
+
+
+def bins(frames):
+    count = [[0] * op.BINS for _ in range(3)]
+    for _, _, screen in frames:
+        for rgb in filter(None, screen):
+            for c in range(3):
+                count[c][rgb[c] * op.BINS // 256] += 1
+    return ";".join(f"{n}={'/'.join(map(str, count[c]))}" for c, n in enumerate(("red", "green", "blue")))
+
+
+@pytest.mark.parametrize("text", [b"", b"a short text.", "ünï ".encode() * 900, np.random.default_rng(4).bytes(30_000)])
+def test_feature_equals_plain_decoding(text):
+    media = op.encode(op.payload(text))
+    frames, got = plain(media), op.stored(text)
+    assert b"".join(f[0] for f in frames) == op.payload(text) and got[4:6] == (len(media), hashlib.sha256(media).hexdigest())
+    assert got[6] == f"frames={len(frames)};ms={sum(f[1] for f in frames)};{bins(frames)}"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 10_000), st.lists(st.tuples(st.integers(0, 10_000), st.integers(0, 255)), max_size=6))
+def test_any_bytes(stop, changes):
+    """Files that break off, or with bytes changed: frames or ValueError, nothing else."""
+    for raw in (SAMPLE, image([(0, 0, [[3] * 4, [3] * 4], 1, None, False), (1, 0, [[2, 0], [0, 2]], 2, 0, True)]), op.encode(op.payload(b"some words " * 90))):
+        data = bytearray(raw)
+        for at, value in changes:
+            data[at % len(data)] = value
+        try:
+            assert all(f.canvas.nbytes <= 4 * op.CANVAS for f in op.decode(bytes(data[: len(raw) - stop % len(raw)])))
+        except ValueError:
+            pass
+
+
+def test_a_large_screen_is_refused():
+    with pytest.raises(ValueError):
+        [*op.decode(b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0, 0, 0) + b"\x3b")]
+
+
+def test_rows_of_bad_files(spark):
+    good = op.encode(op.payload(b"x" * 20_000))
+    media = spark.createDataFrame([(i, good[: len(good) * i // 7]) for i in range(8)] + [(None, SAMPLE)], "doc_id bigint, media binary")
+    got = op.frames(media).collect()
+    assert [(r.doc_id, r.frame, r.start_ms) for r in got if r.doc_id == 7] == [(7, 0, 0), (7, 1, 40)] and {r.doc_id for r in got} <= {7, 6, None} and any(r.doc_id is None for r in got)
 
 
 def test_cases(spark):
