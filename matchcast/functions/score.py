@@ -28,6 +28,11 @@ def notebook_score(s1: Column, s2: Column) -> Column:
     return F.nanvl(F.when(one < 0.5, other).otherwise(one), F.lit(None))
 
 
+def stated_score(s1: Column, s2: Column) -> Column:
+    """(1 / (1 + e^(-s1/s2))) to the power 1.25: the formula as it is stated, which neither of the others is; 0 to 0 is null."""
+    return F.nanvl(F.pow(1 / (1 + F.exp(-safe_ratio(s1, s2))), F.lit(EXPONENT)), F.lit(None))
+
+
 def binary(x: Column) -> Column:
     """1 above a half, else 0."""
     return (x > 0.5).cast("int")

@@ -50,6 +50,36 @@ def z_score(df: DataFrame, column: str, out: str, fit_on: DataFrame | None = Non
     return df.crossJoin(F.broadcast(stats)).withColumn(out, scaled).drop("_mean", "_std")  # one row
 
 
+def network_layout(df: DataFrame, day: str, teams: list[str], sides: list[str], map_: str, ranks: list[str], out: str = "features") -> tuple[DataFrame, list[int]]:
+    """Day as a z-score, each team column by its own vocabulary, both line-ups by the players of the first side, the map, the ranks, as
+    one vector; and the widths of these blocks. All is fit on ``df``; players that the first side never has are left out."""
+    hot = one_hot(df, [*teams, map_], "zeros")
+    words = vocabulary(df, sides[:1])
+    rows = hot.transform(z_score(df, day, "_z"))
+    for s in sides:
+        rows = multi_hot(words, s, f"{s}_hot").transform(rows)
+    blocks = ["_z", *(f"{t}_hot" for t in teams), *(f"{s}_hot" for s in sides), f"{map_}_hot", *ranks]
+    sizes = [len(x) for x in hot.stages[0].labelsArray]
+    widths = [1, *sizes[:-1], *([len(words)] * len(sides)), sizes[-1], *([1] * len(ranks))]
+    extra = ["_z", *(f"{c}_{k}" for c in (*teams, map_) for k in ("index", "hot")), *(f"{s}_hot" for s in sides)]
+    return assemble(rows, blocks, out).drop(*extra), widths
+
+
+def boosted_layout(df: DataFrame, columns: list[str], lists: list[tuple[str, str]], k: int = 50, more: tuple[str, ...] = ()) -> DataFrame:
+    """The columns, ``more`` of them or none, and for each pair of lists (line-ups, or heroes, of both sides) ``k`` coordinates of either
+    side, as columns ``<list>_pca``. Vocabulary and components are fit on the first side and applied to both."""
+    kept = [*columns, *more]
+    for first, second in lists:
+        words = vocabulary(df, [first])
+        for side in (first, second):
+            df = multi_hot(words, side, f"{side}_hot").transform(df)
+        model = CentredPCA.fit(df, f"{first}_hot", k)
+        for side in (first, second):
+            df = model.transform(df, f"{side}_hot", f"{side}_pca").drop(f"{side}_hot")
+            kept.append(f"{side}_pca")
+    return df.select(*kept)
+
+
 class CentredPCA:
     """PCA of centred data whose vectors stay sparse: projections minus the mean's projection. Signs make each component's greatest
     loading positive."""
@@ -94,4 +124,4 @@ def to_vector(xs: Column) -> Column:
     return array_to_vector(xs)
 
 
-__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "full_statistics", "multi_hot", "multi_hot_rows", "one_hot", "target_statistics", "to_vector", "vocabulary", "z_score"]
+__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "full_statistics", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "z_score"]

@@ -75,3 +75,10 @@ def mean_or_half(df: DataFrame, p: str, by: list[str]) -> DataFrame:
     """Mean of the predictions that are there, a half and unknown = true where none is."""
     mean = F.avg(F.nanvl(F.col(p), F.lit(None)))
     return df.groupBy(*by).agg(F.coalesce(mean, F.lit(0.5)).alias("mean"), mean.isNull().alias("unknown"))
+
+
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n): how many values each column has, nulls apart. One pass: values are combined before they are exchanged."""
+    values = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns)))
+    every = df.select(values.alias("_v")).select("_v.*").distinct()
+    return every.groupBy("column").agg(F.count("value").alias("n"))

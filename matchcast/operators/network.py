@@ -1,7 +1,8 @@
 """A residual network for scores: trained by minibatches on one bounded sample, applied to all rows in Arrow batches.
 
-Layers of 500, five of 100 and five of 50 are joined by sums; a layer may be used at several places with the same weights, batches
-are normalised without scale and shift, and dropout acts in training alone. Loss: Huber; steps: AdamW, with a rate that falls by a
+Every layer is two linear maps: the first, of the layer's inputs, is rectified and normalised without scale and shift; the second, of the
+layer's own width, is rectified and, in training alone, thinned by dropout. Some places add what came out two places before. A layer
+may stand at two places, with the same weights and the same running statistics. Loss: Huber; steps: AdamW, with a rate that falls by a
 factor each pass.
 """
 
@@ -12,21 +13,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Order of the layers as the data pass them; a name that comes again is the same weights. A layer of equal width adds its input.
-PASS = ("in", "500", "100_1", "100_2", "100_3", "100_2", "50_1", "50_2", "50_3", "50_2", "50_3")
-WIDTHS = {"in": 1000, "500": 500, "100": 100, "50": 50}
+#: The layers as the data pass them, and the place whose output each adds, or None.
+PASS = (
+    ("1000_1", None), ("500_1", None), ("100_1", None), ("100_2", None), ("100_3", 2), ("100_2", 3), ("100_5", 4),
+    ("50_1", None), ("50_2", None), ("50_3", 7), ("50_2", 8), ("50_3", 9),
+)
 #: Most rows that are trained on.
 SAMPLE = 200_000
 
 
-def layers(inputs: int, scale: float = 1.0, order: tuple[str, ...] = PASS) -> list[tuple[str, int, int]]:
-    """(name, inputs, outputs) of every place in the pass. ``scale`` makes all widths smaller."""
+def layers(inputs: int, scale: float = 1.0, order: tuple[tuple[str, int | None], ...] = PASS) -> list[tuple[str, int, int, int | None]]:
+    """(name, inputs, outputs, place added) of every place in the pass. ``scale`` makes all widths smaller."""
     out, now = [], inputs
-    for name in order:
-        width = max(2, int(WIDTHS[name.split("_")[0]] * scale))
-        out.append((name, now, width))
+    for name, added in order:
+        width = max(2, int(int(name.split("_")[0]) * scale))
+        out.append((name, now, width, added))
         now = width
     return out
 
@@ -38,52 +41,60 @@ class Network:
     dropout: float = 0.3
     seed: int = 7
     weights: dict[str, np.ndarray] = field(default_factory=dict)
-    running: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    running: dict[str, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
 
     def __post_init__(self):
         random = np.random.default_rng(self.seed)
         self.places = layers(self.inputs, self.scale)
-        for name, a, b in self.places:
+        maps = [(f"{name}.{i}", n, b) for name, a, b, _ in self.places for i, n in ((1, a), (2, b))]
+        for name, a, b in [*maps, ("out", self.places[-1][2], 1)]:
             if f"{name}.w" not in self.weights:
                 self.weights[f"{name}.w"] = random.uniform(-1, 1, (a, b)) / np.sqrt(a)
                 self.weights[f"{name}.b"] = random.uniform(-1, 1, b) / np.sqrt(a)
-        last = self.places[-1][2]
-        self.weights.setdefault("out.w", random.uniform(-1, 1, (last, 1)) / np.sqrt(last))
-        self.weights.setdefault("out.b", np.zeros(1))
 
     def forward(self, x: np.ndarray, random: np.random.Generator | None = None) -> tuple[np.ndarray, list]:
         """Predictions and what backward needs; ``random`` is given in training."""
-        kept = []
-        for i, (name, a, b) in enumerate(self.places):
-            z = x @ self.weights[f"{name}.w"] + self.weights[f"{name}.b"]
+        kept, outputs = [], []
+        for name, _, b, added in self.places:
+            z = x @ self.weights[f"{name}.1.w"] + self.weights[f"{name}.1.b"]
             r = np.maximum(z, 0)
+            old = self.running.get(name, (np.zeros(b), np.ones(b)))
             if random is not None:
                 mean, var = r.mean(0), r.var(0)
-                old = self.running.get(i, (np.zeros(b), np.ones(b)))
-                self.running[i] = (0.9 * old[0] + 0.1 * mean, 0.9 * old[1] + 0.1 * var * len(r) / max(len(r) - 1, 1))
+                self.running[name] = (0.9 * old[0] + 0.1 * mean, 0.9 * old[1] + 0.1 * var * len(r) / max(len(r) - 1, 1))
             else:
-                mean, var = self.running.get(i, (np.zeros(b), np.ones(b)))
+                mean, var = old
             inverse = 1 / np.sqrt(var + 1e-5)
             normal = (r - mean) * inverse
-            mask = np.ones_like(normal) if random is None else (random.random(normal.shape) >= self.dropout) / (1 - self.dropout)
-            out = normal * mask
-            kept.append((x, z, normal, inverse, mask))
-            x = out + x if a == b else out
+            second = normal @ self.weights[f"{name}.2.w"] + self.weights[f"{name}.2.b"]
+            mask = np.ones_like(second) if random is None else (random.random(second.shape) >= self.dropout) / (1 - self.dropout)
+            kept.append((x, z, normal, inverse, second, mask))
+            x = np.maximum(second, 0) * mask
+            if added is not None:
+                x = x + outputs[added]
+            outputs.append(x)
         return (x @ self.weights["out.w"] + self.weights["out.b"])[:, 0], [*kept, x]
 
     def backward(self, kept: list, slope: np.ndarray) -> dict[str, np.ndarray]:
-        last = kept[-1]
         grads = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        grads["out.w"] += last.T @ slope[:, None]
+        grads["out.w"] += kept[-1].T @ slope[:, None]
         grads["out.b"] += slope.sum(keepdims=True)
-        g = slope[:, None] @ self.weights["out.w"].T
-        for (name, a, b), (x, z, normal, inverse, mask) in zip(reversed(self.places), reversed(kept[:-1]), strict=True):
-            d = g * mask
-            d = inverse * (d - d.mean(0) - normal * (d * normal).mean(0))
-            d = d * (z > 0)
-            grads[f"{name}.w"] += x.T @ d
-            grads[f"{name}.b"] += d.sum(0)
-            g = d @ self.weights[f"{name}.w"].T + (g if a == b else 0)
+        back = [0.0] * len(self.places)  # by the place whose output it is
+        back[-1] = slope[:, None] @ self.weights["out.w"].T
+        for i in range(len(self.places) - 1, -1, -1):
+            name, _, _, added = self.places[i]
+            x, z, normal, inverse, second, mask = kept[i]
+            if added is not None:
+                back[added] = back[added] + back[i]
+            d = back[i] * mask * (second > 0)
+            grads[f"{name}.2.w"] += normal.T @ d
+            grads[f"{name}.2.b"] += d.sum(0)
+            d = d @ self.weights[f"{name}.2.w"].T
+            d = inverse * (d - d.mean(0) - normal * (d * normal).mean(0)) * (z > 0)
+            grads[f"{name}.1.w"] += x.T @ d
+            grads[f"{name}.1.b"] += d.sum(0)
+            if i:
+                back[i - 1] = back[i - 1] + d @ self.weights[f"{name}.1.w"].T
         return grads
 
     def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 10, batch: int = 1000, rate: float = 1e-3, decay: float = 0.9, shrink: float = 0.01) -> list[float]:
@@ -139,3 +150,17 @@ def predict(df: DataFrame, net: Network, features: str, keep: list[str], out: st
     chosen = df.select(*keep, F.col(features).cast("array<double>").alias("_x"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1]) + f", `{out}` double"
     return chosen.mapInArrow(run, schema)
+
+
+def save(net: Network, spark: SparkSession, path: str) -> None:
+    """Weights and running statistics, a row each."""
+    every = {**{f"weights/{k}": v for k, v in net.weights.items()}, **{f"running/{k}/{i}": v for k, x in net.running.items() for i, v in enumerate(x)}}
+    rows = [(k, list(v.shape), bytearray(np.ascontiguousarray(v, "<f8").tobytes()), net.inputs, net.scale, net.dropout, net.seed) for k, v in every.items()]
+    spark.createDataFrame(rows, "name string, shape array<int>, value binary, inputs int, scale double, dropout double, seed int").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> Network:
+    rows = spark.read.parquet(path).collect()  # a row per layer's array
+    arrays = {r["name"]: np.frombuffer(bytes(r["value"]), "<f8").reshape(r["shape"]).copy() for r in rows}
+    running = {k.split("/")[1]: (v, arrays[f"{k[:-1]}1"]) for k, v in arrays.items() if k.startswith("running/") and k.endswith("/0")}
+    return Network(rows[0]["inputs"], rows[0]["scale"], rows[0]["dropout"], rows[0]["seed"], {k[len("weights/") :]: v for k, v in arrays.items() if k.startswith("weights/")}, running)

@@ -9,27 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from matchcast.functions import clean, html, score, text
 from matchcast.operators import encode, evaluate, models, network, ordering, rows, serve
 from matchcast.plans.bindings import KEY, ORDER, VIEW, matches, numbered, table
+from matchcast.registry import QUERIES, SQL, query, six
 from matchcast.schema import conform
 from matchcast.sources import files, pages as page_source
 
 REF = "1998-09-02"
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def six(x) -> F.Column:
-    """Doubles that two engines add up in different orders."""
-    return F.round(x, 6)
 
 
 # Sources, projections, filters
@@ -465,11 +449,14 @@ def q49_labels(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    from matchcast import queries_layouts, queries_pages  # noqa: F401  these register their own
+
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    queries()
+    return dict(SQL)
 
 
 __all__ = ["Window", "oracle_sql", "queries"]

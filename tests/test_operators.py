@@ -163,7 +163,7 @@ def test_network_gradients_and_training(spark):
     p, kept = net.forward(x, np.random.default_rng(0))
     slope = (p - y) / len(y)
     grads = net.backward(kept, slope)
-    for name in ("in.w", "100_2.w", "50_3.b", "out.w"):
+    for name in ("1000_1.1.w", "100_2.1.w", "100_2.2.w", "50_1.2.b", "50_3.1.b", "out.w"):
         at = tuple(0 for _ in net.weights[name].shape)
         values = []
         for step in (1e-6, -2e-6):
@@ -180,6 +180,39 @@ def test_network_gradients_and_training(spark):
     assert losses[-1] < losses[0]
 
 
+def plain_forward(net, x):
+    """The pass written out, with the running statistics."""
+
+    def layer(name, v):
+        w, (mean, var) = net.weights, net.running[name]
+        v = (np.maximum(v @ w[f"{name}.1.w"] + w[f"{name}.1.b"], 0) - mean) / np.sqrt(var + 1e-5)
+        return np.maximum(v @ w[f"{name}.2.w"] + w[f"{name}.2.b"], 0)
+
+    a1 = layer("100_1", layer("500_1", layer("1000_1", x)))
+    a2 = layer("100_2", a1)
+    a3 = layer("100_3", a2) + a1
+    a4 = layer("100_2", a3) + a2
+    a5 = layer("100_5", a4) + a3
+    b1 = layer("50_1", a5)
+    b2 = layer("50_2", b1)
+    b3 = layer("50_3", b2) + b1
+    b4 = layer("50_2", b3) + b2
+    b5 = layer("50_3", b4) + b3
+    return (b5 @ net.weights["out.w"] + net.weights["out.b"])[:, 0]
+
+
+def test_network_pass_and_keeping(spark, tmp_path):
+    random = np.random.default_rng(3)
+    x, y = random.random((200, 6)), random.random(200)
+    net = network.Network(6, scale=0.1)
+    net.train(x, y, epochs=2, batch=50)
+    assert np.allclose(net.forward(x)[0], plain_forward(net, x))
+    network.save(net, spark, str(tmp_path / "n"))
+    again = network.load(spark, str(tmp_path / "n"))
+    assert (again.forward(x)[0] == net.forward(x)[0]).all() and again.places == net.places
+    assert [w for _, _, w, _ in network.layers(64)] == [1000, 500, 100, 100, 100, 100, 100, 50, 50, 50, 50, 50]
+
+
 def test_messages_and_places(spark):
     df = spark.createDataFrame([(1, 1, "A", "B", "Nuke", 0.25), (1, 2, "A", "B", "Dust2", 0.5)], "m int, s int, a string, b string, map string, p double")
     got = serve.messages(df, ["m"], "a", "b", "map", "p", "s").first()
