@@ -5,12 +5,13 @@ which ids go on, and level 1 holds the next chunk of just those, in order, and s
 before every block of ``BLOCK`` bits, so the place of an id in the next level is one directory entry and one popcount away.
 
 File format: a Parquet table in a folder that Spark can write, one row per shard, in ascending order of documents: partition,
-shard, before (tokens of the partition's earlier shards), doc_ids and counts (of its documents, in order), n_tokens, levels, bitmaps and ranks (one binary value per level).
-A shard closes at ``SHARD_TOKENS`` tokens; a document is never divided.
+shard, before (tokens of the partition's earlier shards), doc_ids, starts and counts (of its documents, in order: the place of the first
+token within the shard, and how many there are), n_tokens, levels, bitmaps and ranks (one binary value per level). A shard closes at
+``SHARD_TOKENS`` tokens; a document is never divided. All reading is by place, through the rank directories (``Levels.access``).
 
-Defined cases: null text is empty; an empty text is the end id alone; repeated doc_ids keep one row each, in any order among
-themselves; null doc_ids come first; texts of any length are taken whole; other columns are ignored; an empty table gives an
-empty table of the same schema.
+Defined cases: null text is empty; an empty text is the end id alone; rows that share a doc_id, or have none, keep one row each, in the
+order of the table, and are dealt over tasks like others; null doc_ids come first; texts of any length are taken whole; other columns
+are ignored; an empty table gives an empty table of the same schema.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from matchcast.llm.vec import ragged, span_hashes
 BITS, BLOCK, SHARD_TOKENS = 8, 512, 1 << 20
 #: Bytes of text whose pre-tokens are in memory at once, and pre-tokens that the cache may hold.
 CHUNK_BYTES, CACHE_WORDS = 1 << 20, 2_000_000
+#: Places that are read at once, and most places that a shard is asked for in one row.
+PLACES, ASKED = 1 << 16, 1 << 16
 #: Fixed value: the split pattern of the byte-level vocabulary, as the library applies it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -73,25 +76,21 @@ class Levels:
         return value
 
     def rank(self, k: int, place: np.ndarray) -> np.ndarray:
-        """Set bits of the level's bitmap before each place."""
+        """Set bits of the level's bitmap before each place: the directory's count before its block, and popcounts within the block."""
         words = self.bitmaps[k].view(np.uint64)
-        word = place >> 6
+        word, first = place >> 6, place // BLOCK * (BLOCK // 64)
         count = self.ranks[k][place // BLOCK].astype(np.int64)
-        first = place // BLOCK * (BLOCK // 64)
         for j in range(BLOCK // 64 - 1):
-            more = first + j < word
-            count += np.where(more, np.bitwise_count(words[np.where(more, first + j, 0)]), 0)
+            more = np.flatnonzero(first + j < word)
+            if not len(more):
+                break
+            count[more] += np.bitwise_count(words[first[more] + j])
         return count + np.bitwise_count(words[word] & (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1))
 
-    def all(self) -> np.ndarray:
-        """Every id: ``access`` of all places, whose ranks run on and need no directory."""
-        value = self.levels[-1].astype(np.uint32)
-        for k in range(len(self.levels) - 2, -1, -1):
-            level = self.levels[k].astype(np.uint32)
-            on = np.flatnonzero(np.unpackbits(self.bitmaps[k], count=len(level), bitorder="little"))
-            level[on] |= value << np.uint32(BITS)
-            value = level
-        return value
+    def span(self, start: int, stop: int) -> np.ndarray:
+        """Ids at the places from ``start`` to ``stop``, in portions."""
+        found = [self.access(np.arange(a, min(a + PLACES, stop))) for a in range(start, stop, PLACES)]
+        return np.concatenate(found) if found else np.zeros(0, np.uint32)
 
     def blobs(self) -> tuple[list[bytes], list[bytes], list[bytes]]:
         return [x.tobytes() for x in self.levels], [x.tobytes() for x in self.bitmaps], [x.tobytes() for x in self.ranks]
@@ -225,10 +224,10 @@ def worker_encoder(path: str, end_id: int) -> Encoder:
 
 SHARDS = T.StructType([
     T.StructField("partition", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())),
-    T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("n_tokens", T.LongType()), T.StructField("levels", T.ArrayType(T.BinaryType())),
+    T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("n_tokens", T.LongType()), T.StructField("levels", T.ArrayType(T.BinaryType())),
     T.StructField("bitmaps", T.ArrayType(T.BinaryType())), T.StructField("ranks", T.ArrayType(T.BinaryType())),
 ])
-ARROW = pa.schema([("partition", pa.int32()), ("shard", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("n_tokens", pa.int64()), *((x, pa.list_(pa.binary())) for x in ("levels", "bitmaps", "ranks"))])
+ARROW = pa.schema([("partition", pa.int32()), ("shard", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("n_tokens", pa.int64()), *((x, pa.list_(pa.binary())) for x in ("levels", "bitmaps", "ranks"))])
 
 
 def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str = "doc_id", end_id: int = 0, shard_tokens: int = SHARD_TOKENS) -> None:
@@ -243,7 +242,8 @@ def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
         def close() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), np.uint16)
             levels, bitmaps, ranks = Levels.of(ids).blobs()
-            row = [[partition], [shard], [before], [keys], [[len(x) // 2 for x in parts]], [len(ids)], [levels], [bitmaps], [ranks]]
+            counts = np.fromiter((len(x) // 2 for x in parts), np.int64, len(parts))
+            row = [[partition], [shard], [before], [keys], [np.cumsum(counts) - counts], [counts], [len(ids)], [levels], [bitmaps], [ranks]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, ARROW.types, strict=True)], schema=ARROW)
 
         for batch in batches:
@@ -264,7 +264,7 @@ def write(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
 
     spark = bounded(docs).sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).cast("string").alias("t")).repartitionByRange(n, "k").sortWithinPartitions("k")
+    ordered = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).cast("string").alias("t"), F.monotonically_increasing_id().alias("m")).repartitionByRange(n, "k", "m").sortWithinPartitions("k", "m")
     ordered.select("k", "t", F.spark_partition_id().alias("p")).mapInArrow(run, SHARDS).write.parquet(folder)
 
 
@@ -285,24 +285,26 @@ def read_documents(shards: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = Levels.read(row["levels"], row["bitmaps"], row["ranks"]).all().astype("<u4")
-                counts = np.array(row["counts"], np.int64)
-                ends = np.cumsum(counts)
-                view = memoryview(ids.tobytes())
-                crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + ends - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                levels = Levels.read(row["levels"], row["bitmaps"], row["ranks"])
+                starts, counts = np.array(row["starts"], np.int64), np.array(row["counts"], np.int64)
+                view = memoryview(levels.span(0, int(counts.sum())).astype("<u4").tobytes())
+                crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(starts.tolist(), (starts + counts).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + starts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.select("doc_ids", "counts", "levels", "bitmaps", "ranks", "start").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return placed.select("doc_ids", "starts", "counts", "levels", "bitmaps", "ranks", "start").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def lookup(shards: DataFrame, wanted: DataFrame, doc: str = "doc_id", at: str = "at") -> DataFrame:
     """Token at place ``at`` of each wanted document, by random access; no row where there is no such place.
 
-    ``wanted`` (doc_id, at) meets the documents of the shards' directory by a join on doc_id; only the shards' hit rows are read."""
-    directory = shards.select("partition", "shard", F.posexplode("doc_ids").alias("i", "doc_id"), "counts")
-    directory = directory.select("partition", "shard", "doc_id", F.expr("aggregate(slice(counts, 1, i), 0L, (a, x) -> a + x)").alias("first"), F.expr("counts[i]").alias("n"))
+    ``wanted`` (doc_id, at) meets the documents of the shards' directory by a join on doc_id; only the shards' hit rows are read. A shard
+    that is asked for many places gets them in lists of about ``ASKED``."""
+    directory = shards.select("partition", "shard", F.explode(F.arrays_zip("doc_ids", "starts", "counts")).alias("d"))
+    directory = directory.select("partition", "shard", F.col("d.doc_ids").alias("doc_id"), F.col("d.starts").alias("first"), F.col("d.counts").alias("n"))
     hits = wanted.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(at).cast("bigint").alias("at")).join(directory, "doc_id").where("at >= 0 and at < n")
-    grouped = hits.groupBy("partition", "shard").agg(F.collect_list(F.struct("doc_id", "at", (F.col("first") + F.col("at")).alias("place"))).alias("asked"))
+    parts = hits.groupBy("partition", "shard").agg(F.ceil(F.count("*") / ASKED).alias("parts"))
+    dealt = hits.join(parts, ["partition", "shard"]).withColumn("part", F.pmod(F.xxhash64("doc_id", "at", F.monotonically_increasing_id()), F.col("parts")))
+    grouped = dealt.groupBy("partition", "shard", "part").agg(F.collect_list(F.struct("doc_id", "at", (F.col("first") + F.col("at")).alias("place"))).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
