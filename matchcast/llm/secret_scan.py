@@ -4,6 +4,9 @@ Candidate spans are found by pattern; the hash of each value is counted over the
 occurs anywhere. A value of many owners is a copied example; one of few is taken for a live credential. Spans of the base kinds
 always stay. The method adds spans of kind ``live``: tokens of mixed characters outside base spans, whose value has few owners.
 
+Repository and owner are columns of the caller's. A table with one column for both, like the query's, counts the same places twice; the
+limit is then on that column alone.
+
 Counts are pre-aggregated by (value, repository, owner) before any exchange by value, so a value that stands in a third of all rows
 is a few rows by then; the join back is an ordinary equi-join, which Spark can split where it is skewed.
 
@@ -106,31 +109,34 @@ def scan(docs: DataFrame, text: str = "text", repository: str = "source", owner:
     )
 
 
+def redact(docs: DataFrame, text: str = "text", repository: str = "source", owner: str = "source", copied_base: bool = True) -> DataFrame:
+    """The documents with every base span, and every span of kind ``live``, replaced by its kind in brackets; all columns stay, whatever
+    their names.
 
-def redact(docs: DataFrame, text: str = "text", repository: str = "source", owner: str = "source") -> DataFrame:
-    """The documents with every base span, and every span of kind ``live``, replaced by its kind in brackets; all columns stay.
-
-    Base spans go even if their value is copied: a real secret may stand in texts of many owners. Owners count over distinct texts, so
-    copies of a text do not make its values examples.
+    Base spans go even if their value is copied, as a real secret may stand in texts of many owners; without ``copied_base`` those that
+    are copied examples stay. Owners count over distinct texts, so copies of a text do not make its values examples.
 
     Spans depend on the text alone, so they are joined back by 128 bits of its hash, once per distinct text that has any."""
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    keyed = docs.select("*", F.xxhash64(body).alias("_h1"), F.xxhash64(F.lit(7), body).alias("_h2"))
-    found = scan(keyed, text, repository, owner, key="_h1", keep=("_h1", "_h2"), once=("_h1", "_h2"))
-    spans_ = found.select("_h1", "_h2", F.filter("found", lambda x: (x["kind"] != "live") | ~x["copied"]).alias("_found")).where(F.size("_found") > 0)
-    spans_ = cut(spans_.groupBy("_h1", "_h2").agg(F.first("_found").alias("_found")))
-    small = spans_.count() * 256 <= BROADCAST_BYTES
+    own = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    body = F.coalesce(own(text).cast("string"), F.lit(""))
+    keyed = docs.select(F.struct(*map(own, docs.columns)).alias("document"), own(text).cast("string").alias("text"), own(repository).cast("string").alias("repository"), own(owner).cast("string").alias("owner"), F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(7), body).alias("h2"))
+    found = scan(keyed, "text", "repository", "owner", key="h1", keep=("h1", "h2"), once=("h1", "h2"))
+    stays = lambda x: x["copied"] if not copied_base else x["copied"] & (x["kind"] == "live")
+    spans_ = found.select("h1", "h2", F.filter("found", lambda x: ~stays(x)).alias("found")).where(F.size("found") > 0)
+    spans_ = cut(spans_.groupBy("h1", "h2").agg(F.first("found").alias("found")))
+    size = spans_.agg(F.sum(64 + 64 * F.size("found"))).first()[0] or 0
     left = F.aggregate(
-        "_found",
+        "found",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
         lambda a, x: F.when(
             x["start"] >= a["at"],
-            F.struct(x["end"].alias("at"), F.concat(a["text"], F.substring(F.col(text), a["at"] + 1, x["start"] - a["at"]), F.lit("["), x["kind"], F.lit("]")).alias("text")),
+            F.struct(x["end"].alias("at"), F.concat(a["text"], F.substring(F.col("text"), a["at"] + 1, x["start"] - a["at"]), F.lit("["), x["kind"], F.lit("]")).alias("text")),
         ).otherwise(F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["text"].alias("text"))),
-        lambda a: F.concat(a["text"], F.substring(F.col(text), a["at"] + 1, F.length(text))),
+        lambda a: F.concat(a["text"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
     )
-    joined_ = keyed.join(F.broadcast(spans_) if small else spans_, ["_h1", "_h2"], "left")
-    return joined_.select(*(F.when(F.col("_found").isNotNull(), left).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in docs.columns))
+    joined_ = keyed.join(F.broadcast(spans_) if size <= BROADCAST_BYTES else spans_, ["h1", "h2"], "left")
+    kept = lambda c: F.col("document").getField(c)
+    return joined_.select(*(F.when(F.col("found").isNotNull(), left).otherwise(kept(c)).alias(c) if c == text else kept(c).alias(c) for c in docs.columns))
 
 
 def _sql_kind(rank: int, pattern: str, group: int) -> str:
