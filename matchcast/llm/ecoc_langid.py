@@ -6,7 +6,7 @@ weights. A text's margins, one per bit, are decoded to the codeword of least los
 apart in training; a text whose two best codewords are close is flagged.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; repeated rows get equal results; texts of any length
-are read whole; with no training rows every text is ``und``; with one language every text with a letter has it, with score 1; other
+are read whole; of equal losses the first language by name wins; with no training rows every text is ``und``; with one language every text with a letter has it, with score 1; other
 columns are ignored; an empty table gives an empty table of the same schema.
 """
 
