@@ -1,10 +1,11 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 For every benchmark item, each window of a document with as many words as the item gets a 64-bit fingerprint: the signs of the sums
-of its weighted shingles' bits. Items are indexed by ``RADIUS + 1`` blocks of their fingerprints, so that every fingerprint within
-``RADIUS`` shares a block with the window's; those found are verified by exact weighted-shingle similarity (sum of the lesser over
-sum of the greater weights). Shingles are five words in lower case without punctuation, an item of fewer words is one shingle;
-a shingle's weight falls with the share of items that have it.
+of its weighted shingles' bits. Items are indexed by four blocks of their fingerprints; every fingerprint within ``RADIUS`` bits of the
+window's is within a quarter of that in one block, whose near values are enumerated (random items are candidates in one case of seven).
+Those found are verified by exact weighted-shingle similarity (sum of the lesser over sum of the greater weights). Shingles are five
+words in lower case without punctuation, an item of fewer words is one shingle; a shingle's weight falls with the share of items that
+have it.
 
 Windows are fingerprinted where the document holds enough of an item's shingles for the similarity to be reached at all; this
 leaves no window out that verification could accept. No exchange is needed: items go to the executors in blocks of bounded bytes, and
@@ -25,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from matchcast.shared import bounded
-from matchcast.llm.vec import ALNUM, LOWER, U64, chunks, shingles, span_hashes, utf8, words
+from matchcast.llm.vec import ALNUM, LOWER, U64, chunks, ragged, shingles, span_hashes, utf8, words
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 19
+#: Bits of a block of a fingerprint.
+BLOCK_BITS = 16
 #: Bytes of items that are sent to the executors at once.
 ITEM_BYTES = 4 << 20
 SCREEN_BITS = 22
@@ -43,33 +46,43 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
 
 
 class BlockIndex:
-    """Items' fingerprints by block: any within ``radius`` of a query agrees with it in one of ``radius + 1`` blocks."""
+    """Items' fingerprints by blocks of ``BLOCK_BITS`` bits: any within ``radius`` of a query differs from it in at most
+    ``radius // blocks`` bits of one block, so the items of all values that near are the candidates."""
 
     def __init__(self, prints: np.ndarray, radius: int = RADIUS):
         self.prints, self.radius = prints, radius
-        edges = np.linspace(0, 64, radius + 2).astype(int)
-        self.blocks = [(U64(a), U64((1 << int(b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        self.lists = []
-        for shift, mask in self.blocks:
-            value = prints >> shift & mask
+        self.shifts = [U64(s) for s in range(0, 64, BLOCK_BITS)]
+        apart = np.bitwise_count(np.arange(1 << BLOCK_BITS, dtype=np.uint32))
+        self.masks = np.flatnonzero(apart <= radius // len(self.shifts))
+        self.values, self.items, self.bounds = [], [], []
+        for shift in self.shifts:
+            value = (prints >> shift & U64((1 << BLOCK_BITS) - 1)).astype(np.int64)
             by = np.argsort(value, kind="stable")
-            self.lists.append((value[by], by))
+            self.values.append(value)
+            self.items.append(by)
+            self.bounds.append(np.searchsorted(value[by], np.arange((1 << BLOCK_BITS) + 1)) if len(prints) > len(self.masks) else None)
+
+    def candidates(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, item) places that are near in block ``k``: by enumerating the near values, or, where there are fewer items than these,
+        by comparing the items' values."""
+        own = (queries >> self.shifts[k] & U64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+        if self.bounds[k] is None:
+            return np.nonzero(np.bitwise_count(own[:, None] ^ self.values[k][None, :]) <= self.radius // len(self.shifts))
+        near = own[:, None] ^ self.masks[None, :]
+        start, count = self.bounds[k][near].ravel(), (self.bounds[k][near + 1] - self.bounds[k][near]).ravel()
+        return np.repeat(np.repeat(np.arange(len(queries)), len(self.masks)), count), self.items[k][np.repeat(start, count) + ragged(count)]
 
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, item) places of all pairs within the radius, once each, by query."""
         found = []
-        for (shift, mask), (values, items) in zip(self.blocks, self.lists, strict=True):
-            own = queries >> shift & mask
-            a, b = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
-            count = b - a
-            if count.any():
-                q = np.repeat(np.arange(len(queries)), count)
-                at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(a, count)
-                i = items[at]
-                close = np.bitwise_count(queries[q] ^ self.prints[i]) <= self.radius
-                found.append(q[close] * len(self.prints) + i[close])
+        for s in range(0, len(queries), 512):
+            part = queries[s : s + 512]
+            for k in range(len(self.shifts)):
+                q, i = self.candidates(part, k)
+                close = np.bitwise_count(part[q] ^ self.prints[i]) <= self.radius
+                found.append((q[close] + s) * len(self.prints) + i[close])
         pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        return pairs // len(self.prints), pairs % len(self.prints)
+        return pairs // max(1, len(self.prints)), pairs % max(1, len(self.prints))
 
 
 class Items:

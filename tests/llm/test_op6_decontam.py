@@ -3,10 +3,11 @@ import math
 import re
 
 import numpy as np
+import pytest
 
 from matchcast.llm import decontam as op
 from matchcast.llm import queries
-from tests.llm.cases import ROWS, SCHEMA, frame
+from tests.llm.cases import ROWS, SCHEMA, SHARED, frame
 
 WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -66,16 +67,35 @@ def test_near_windows_are_found(spark):
     assert kept == {k for k, _ in docs} - {r.doc_id for r in got} and op.clean(df, bench).columns == df.columns
 
 
-def test_block_index_finds_all_within_the_radius():
+@pytest.mark.parametrize("n", [0, 1, 50, 4000])
+def test_block_index_finds_all_within_the_radius(n):
+    """Both ways of looking up: few items are compared, many are found by their near values."""
     random = np.random.default_rng(5)
-    prints = random.integers(0, 1 << 63, 50, dtype=np.uint64)
-    asked = prints[random.integers(0, 50, 300)].copy()
+    prints = random.integers(0, 1 << 64, n, dtype=np.uint64)
+    asked = prints[random.integers(0, n, 300)].copy() if n else random.integers(0, 1 << 64, 300, dtype=np.uint64)
     for i in range(300):
         for b in random.integers(0, 64, random.integers(0, 25)):
             asked[i] ^= np.uint64(1) << np.uint64(b)
-    q, i = op.BlockIndex(prints).near(asked)
-    want = {(a, b) for a in range(300) for b in range(50) if int(np.bitwise_count(asked[a] ^ prints[b])) <= op.RADIUS}
-    assert set(zip(q.tolist(), i.tolist())) == want and len(q) == len(want)
+    index = op.BlockIndex(prints)
+    assert n < 4000 or index.bounds[0] is not None
+    q, i = index.near(asked)
+    want = np.argwhere(np.bitwise_count(asked[:, None] ^ prints[None, :]) <= op.RADIUS)
+    assert sorted(zip(q.tolist(), i.tolist())) == sorted(map(tuple, want.tolist())) and (len(q) > 100 or not n)
+
+
+def test_the_index_selects():
+    """Of random items one in seven is a candidate of a random window."""
+    random = np.random.default_rng(6)
+    index, asked = op.BlockIndex(random.integers(0, 1 << 64, 4000, dtype=np.uint64)), random.integers(0, 1 << 64, 200, dtype=np.uint64)
+    pairs = set().union(*(set(zip(*(x.tolist() for x in index.candidates(asked, k)))) for k in range(4)))
+    assert 0.12 < len(pairs) / (200 * 4000) < 0.17
+
+
+def test_rows_of_one_doc_id(spark):
+    bench = spark.createDataFrame([(1, SHARED[4][1][13:-16])], "item_id bigint, text string")
+    df = spark.createDataFrame(SHARED, SCHEMA)
+    assert [(r.doc_id, r.item_id) for r in op.find(df, bench).collect()] == [(3, 1), (3, 1)]
+    assert op.clean(df, bench).count() == len(SHARED) - 2 and op.clean(df, bench).columns == df.columns
 
 
 def test_cases(spark):
