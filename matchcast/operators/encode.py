@@ -106,15 +106,37 @@ class CentredPCA:
         return projected.withColumn(out, moved).drop("_pca")
 
 
-def target_statistics(df: DataFrame, column: str, target: str, out: str, prior: float = 0.5, weight: float = 1.0, seq: str = "seq") -> DataFrame:
-    """(sum of the target over the value's earlier rows + weight prior) / (their count + weight): no row sees its own target."""
-    rows = running(df, column, F.col(target), seq)
-    return rows.withColumn(out, (F.col("before_sum") + weight * prior) / (F.col("before_n") + weight)).drop("before_n", "before_sum")
+def melted(df: DataFrame, columns: list[str], *others: str) -> DataFrame:
+    """A row per column and row: its name, its value as a key that nulls have too, and the other columns."""
+    value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    every = F.explode(F.array(*(F.struct(F.lit(i).alias("column"), value(c).alias("value")) for i, c in enumerate(columns))))
+    return df.select(*others, every.alias("_m")).select(*others, "_m.column", "_m.value")
 
 
-def full_statistics(df: DataFrame, column: str, target: str, prior: float = 0.5, weight: float = 1.0) -> DataFrame:
-    """(column, statistic) over all rows: for new rows."""
-    return df.groupBy(column).agg(((F.sum(target) + weight * prior) / (F.count(target) + weight)).alias("statistic"))
+def target_statistics(df: DataFrame, columns: str | list[str], target: str, out: str | list[str], prior: float = 0.5, weight: float = 1.0, seq: str = "seq") -> DataFrame:
+    """(sum of the target over the value's earlier rows + weight prior) / (their count + weight): no row sees its own target.
+
+    All columns go through one running sum, over a row per column and row, and come back by the number of the row."""
+    columns, outs = ([columns], [out]) if isinstance(columns, str) else (columns, out)
+    rows = running(melted(df, columns, seq, target), ["column", "value"], F.col(target), seq)
+    statistic = (F.col("before_sum") + weight * prior) / (F.col("before_n") + weight)
+    wide = rows.withColumn("_s", statistic).groupBy(seq).agg(*(F.max(F.when(F.col("column") == i, F.col("_s"))).alias(o) for i, o in enumerate(outs)))
+    return df.join(wide, seq).select(*df.columns, *outs)
+
+
+def full_statistics(df: DataFrame, columns: list[str], target: str, prior: float = 0.5, weight: float = 1.0) -> DataFrame:
+    """(column, value, statistic) over all rows, columns by their place in the list: for new rows."""
+    rows = melted(df, columns, target)
+    return rows.groupBy("column", "value").agg(((F.sum(target) + weight * prior) / (F.count(target) + weight)).alias("statistic"))
+
+
+def known_statistics(df: DataFrame, statistics: DataFrame, columns: list[str], outs: list[str], prior: float, small: bool) -> DataFrame:
+    """Adds what ``full_statistics`` has for each column's value, and the prior for values that are new."""
+    for i, (c, out) in enumerate(zip(columns, outs, strict=True)):
+        own = statistics.where(F.col("column") == i).select(F.col("value").alias("_value"), F.col("statistic").alias(out))
+        key = F.coalesce(F.concat(F.lit("="), df[c].cast("string")), F.lit(""))
+        df = df.join(F.broadcast(own) if small else own, key == own["_value"], "left").drop("_value").fillna({out: prior})
+    return df
 
 
 def to_vector(xs: Column) -> Column:
@@ -124,4 +146,4 @@ def to_vector(xs: Column) -> Column:
     return array_to_vector(xs)
 
 
-__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "full_statistics", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "z_score"]
+__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "full_statistics", "known_statistics", "melted", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "z_score"]

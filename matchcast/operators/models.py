@@ -11,13 +11,15 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, functions as F
 
-from matchcast.operators.encode import assemble, full_statistics, target_statistics
+from matchcast.operators.encode import assemble, full_statistics, known_statistics, target_statistics
 from matchcast.operators.evaluate import accuracy
-from matchcast.shared import cut
+from matchcast.shared import BROADCAST_BYTES, cut
 
-#: Categorical columns of the played maps, and the grids that are searched.
+#: Categorical columns of the played maps, the grids that are searched, and the learner's usual rounds and depth.
 CATEGORICAL = ["team_1", "team_2", *(f"player{i}_team{s}" for s in (1, 2) for i in range(1, 6)), "map", "team_rank_1", "team_rank_2"]
-GRID = {"learning_rate": [0.01, 0.03, 0.05, 0.1, 0.2], "depth": [2, 4, 6, 8], "iterations": [50, 100, 200]}
+GRID = {"learning_rate": [0.3, 0.2, 0.1], "depth": [4, 5, 6, 8, 10], "iterations": [100, 200, 500, 1000]}
+LEAF_GRID = {"learning_rate": [0.3, 0.2, 0.1], "depth": [4, 6, 10], "l2_leaf_reg": [1, 5, 9]}
+ITERATIONS, DEPTH, RATE = 1000, 6, 0.1
 
 
 class Booster:
@@ -25,20 +27,17 @@ class Booster:
 
     Training rows get the statistics of the rows before them, new rows those of all training rows; values that are new get the prior."""
 
-    def __init__(self, numeric: list[str], categorical: list[str], target: str, classifier: bool = False, iterations: int = 20, depth: int = 4, rate: float = 0.1, seed: int = 7, prior: float = 0.5):
+    def __init__(self, numeric: list[str], categorical: list[str], target: str, classifier: bool = False, iterations: int = ITERATIONS, depth: int = DEPTH, rate: float = RATE, seed: int = 7, prior: float = 0.5):
         self.numeric, self.categorical, self.target, self.classifier, self.prior = numeric, categorical, target, classifier, prior
         kind = GBTClassifier if classifier else GBTRegressor
         self.learner = kind(featuresCol="features", labelCol=target, maxIter=iterations, maxDepth=min(depth, 30), stepSize=rate, seed=seed)
         self.model = None
-        self.statistics: dict[str, DataFrame] = {}
-
-    def fit(self, rows: DataFrame, seq: str = "seq", validation: str | None = None, tolerance: float = 0.01) -> Booster:
-        """``validation`` names a boolean column: rounds stop where its rows no longer gain."""
-        train = rows
-        for c in self.categorical:
-            # each is cut from its lineage: one column's statistics join the rows with their own sums, and plans would double
-            train = cut(target_statistics(train, c, self.target, f"{c}_mean", self.prior, seq=seq))
-            self.statistics[c] = cut(full_statistics(rows, c, self.target, self.prior))
+        self.statistics: DataFrame | None = None
+
+    def fit(self, rows: DataFrame, seq: str = "seq", validation: str | None = None, tolerance: float = 0.0) -> Booster:
+        """``validation`` names a boolean column: rounds end where its rows gain no more than the tolerance, and the best round stays."""
+        train = cut(target_statistics(rows, self.categorical, self.target, self.means, self.prior, seq=seq)) if self.categorical else rows
+        self.statistics = cut(full_statistics(rows, self.categorical, self.target, self.prior)) if self.categorical else None
         learner = self.learner
         if validation:
             learner = learner.copy().setValidationIndicatorCol(validation)
@@ -48,27 +47,31 @@ class Booster:
 
     @property
     def inputs(self) -> list[str]:
-        return [*self.numeric, *(f"{c}_mean" for c in self.categorical)]
+        return [*self.numeric, *self.means]
+
+    @property
+    def means(self) -> list[str]:
+        return [f"{c}_mean" for c in self.categorical]
 
     def predict(self, rows: DataFrame, out: str = "p") -> DataFrame:
         """Adds the prediction, or the chance of 1."""
-        for c in self.categorical:
-            known = self.statistics[c].select(F.col(c).alias("_value"), F.col("statistic").alias(f"{c}_mean"))
-            rows = rows.join(known, rows[c].eqNullSafe(known["_value"]), "left").drop("_value").fillna({f"{c}_mean": self.prior})
+        if self.categorical:
+            small = self.statistics.count() * 64 <= BROADCAST_BYTES
+            rows = known_statistics(rows, self.statistics, self.categorical, self.means, self.prior, small)
         scored = self.model.transform(assemble(rows, self.inputs))
         value = vector_to_array("probability")[1] if self.classifier else F.col("prediction")
-        gone = {"features", "prediction", "rawPrediction", "probability", *(f"{c}_mean" for c in self.categorical)}
+        gone = {"features", "prediction", "rawPrediction", "probability", *self.means}
         return scored.withColumn(out, value).drop(*gone)
 
     def save(self, path: str) -> None:
         """The trees and the statistics, as folders below ``path``."""
         PipelineModel([self.model]).write().overwrite().save(f"{path}/trees")
-        for c, s in self.statistics.items():
-            s.write.mode("overwrite").parquet(f"{path}/{c}")
+        if self.categorical:
+            self.statistics.write.mode("overwrite").parquet(f"{path}/statistics")
 
     def load(self, spark, path: str) -> Booster:
         self.model = PipelineModel.load(f"{path}/trees").stages[0]
-        self.statistics = {c: spark.read.parquet(f"{path}/{c}") for c in self.categorical}
+        self.statistics = spark.read.parquet(f"{path}/statistics") if self.categorical else None
         return self
 
 

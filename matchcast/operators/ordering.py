@@ -7,6 +7,8 @@ partitions, a row each, give the offsets.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -83,17 +85,19 @@ def changes(df: DataFrame, value: str, by: list[str], within: list[str]) -> Data
     return df.withColumn("changed", F.when(prior.eqNullSafe(F.col(value)) & prior.isNotNull(), 0).otherwise(1))
 
 
-def running(df: DataFrame, key: str, value: Column, seq: str = "seq", span: int = 50_000) -> DataFrame:
-    """Adds before_n and before_sum: count and sum of the value over the key's earlier rows.
+def running(df: DataFrame, key: str | list[str], value: Column, seq: str = "seq", span: int = 50_000) -> DataFrame:
+    """Adds before_n and before_sum: count and sum of the value over the key's earlier rows; rows without a key are one key's.
 
     In two levels, by runs of ``span`` numbers, so that a key of very many rows is no single task's."""
+    keys = [key] if isinstance(key, str) else key
     rows = df.withColumn("_v", value.cast("double")).withColumn("_b", F.floor(F.col(seq) / span))
-    sums = rows.groupBy(key, "_b").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
-    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(key, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s0"))
-    inner = Window.partitionBy(key, "_b").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*keys, "_b").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_b0"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s0"))
+    inner = Window.partitionBy(*keys, "_b").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     near = rows.withColumn("_n1", F.count("_v").over(inner)).withColumn("_s1", F.coalesce(F.sum("_v").over(inner), F.lit(0.0)))
-    return near.join(sums, [key, "_b"]).withColumn("before_n", F.col("_n0") + F.col("_n1")).withColumn("before_sum", F.col("_s0") + F.col("_s1")).select(*df.columns, "before_n", "before_sum")
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)), F.col("_b") == F.col("_b0"))
+    return near.join(sums, same).withColumn("before_n", F.col("_n0") + F.col("_n1")).withColumn("before_sum", F.col("_s0") + F.col("_s1")).select(*df.columns, "before_n", "before_sum")
 
 
 def share_rows(n: int, share: float = 0.07) -> int:
