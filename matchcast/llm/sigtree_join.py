@@ -497,28 +497,37 @@ def parted(rows: DataFrame) -> DataFrame:
     return dealt.withColumn("p", F.least("_own", "_other")).withColumn("q", F.greatest("_own", "_other")).withColumn("side", side).drop("_own", "_other", "parts")
 
 
-def bodies(wanted: DataFrame, docs: DataFrame, k: int, salt: int) -> DataFrame:
+def bodies(wanted: DataFrame, docs: DataFrame, k: int, salt: int, again: bool) -> DataFrame:
     """Adds the exact set, made from the text of the document ``rep`` whose set has the name and rest of the digest, to rows (nid, rest,
-    rep, ..). Rows that share a doc_id and a set come more than once."""
+    rep, ..). Where rows share a doc_id (``again``), texts are found by the names of their sets, so that many rows of one doc_id do not
+    all meet, and each task gives a set once."""
     small = wanted.count() * 64 <= BROADCAST_BYTES
-    texts = docs.withColumn("_rep", F.coalesce("doc_id", F.lit(NONE))).join(F.broadcast(wanted) if small else wanted, F.col("_rep") == F.col("rep"))
+    wanted_ = F.broadcast(wanted) if small else wanted
+    if again:
+        named = names(docs.select("text"), "text", k, salt)
+        texts = named.join(wanted_, F.col("_nid") == F.col("nid"))
+    else:
+        texts = docs.withColumn("_rep", F.coalesce("doc_id", F.lit(NONE))).join(wanted_, F.col("_rep") == F.col("rep"))
     others = [c for c in wanted.columns if c not in ("nid", "rest", "rep")]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             for a, b in chunks(offsets):
                 values, bounds = sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k)
                 nid, rest = digests(values, bounds, salt)
                 part = batch.slice(a, b - a)
-                keep = np.flatnonzero((nid == part.column(0).to_numpy()) & (rest == part.column(1).to_numpy()))
-                if len(keep):
-                    raw = [values[bounds[r] : bounds[r + 1]].tobytes() for r in keep.tolist()]
+                fits = np.flatnonzero((nid == part.column(0).to_numpy()) & (rest == part.column(1).to_numpy()))
+                keep = [r for r in fits.tolist() if (name := int(nid[r])) not in given and not given.add(name)]
+                if keep:
+                    raw = [values[bounds[r] : bounds[r + 1]].tobytes() for r in keep]
                     taken = part.take(pa.array(keep))
                     yield pa.RecordBatch.from_arrays([taken.column(0), *taken.columns[3:], pa.array(raw, pa.binary())], ["nid", *others, "body"])
 
     schema = "nid bigint, " + "".join(f"`{c}` {wanted.schema[c].dataType.simpleString()}, " for c in others) + "body binary"
-    return texts.select("nid", "rest", "text", *others).mapInArrow(make, schema)
+    found = texts.select("nid", "rest", "text", *others).mapInArrow(make, schema)
+    return found.dropDuplicates(["nid"]) if again else found
 
 
 def repeated(rows: DataFrame) -> bool:
@@ -598,7 +607,7 @@ def named_join(documents: DataFrame, text: str, key: str, k: int, num: int, den:
     named = family.join(nodes, "nid")
     parts = F.greatest(F.ceil(F.sum("n") / PART_TOKENS), F.ceil(F.count("*") / PART_NODES)).cast("int").alias("parts")
     wanted = cut(named.join(named.groupBy("family").agg(parts), "family"))
-    placed = parted(bodies(wanted, docs, k, salt).dropDuplicates(["nid"]) if repeated(rows) else bodies(wanted, docs, k, salt))
+    placed = parted(bodies(wanted, docs, k, salt, repeated(rows)))
     dealt = placed.repartition(partitions, "family", "p", "q").sortWithinPartitions("family", "p", "q", "n", "nid")
     found = cut(linked(dealt.select("family", "p", "q", "nid", "side", "body"), num, den))
     roots = components(found.where("a < b").select("a", "b"))
@@ -612,8 +621,8 @@ def named_join(documents: DataFrame, text: str, key: str, k: int, num: int, den:
 
 
 def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents without those whose component has a lesser doc_id; all columns stay. Of rows with equal doc_id and text one stays;
-    rows without doc_id stay."""
+    """The documents without those whose component has a lesser doc_id; all columns stay, whatever their names. Of rows with equal doc_id
+    and text one stays, whichever; of rows that share a doc_id but not a text each is judged by its own; rows without doc_id stay."""
     found, salt = named_join(documents, text, key, k, num, den)
     found = cut(found.select("doc_id", "component_id", "nid"))
     again = repeated(found)
@@ -622,10 +631,12 @@ def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", k: i
     gone = F.broadcast(gone) if small else gone
     if not again:
         return documents.join(gone, documents[key].cast("bigint") == gone["doc_id"], "left_anti")
-    rows = names(documents, text, k, salt)  # rows of one doc_id may be of several sets
+    own = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    packed = documents.select(F.struct(*map(own, documents.columns)).alias("document"), own(key).cast("bigint").alias("doc_id"), own(text).cast("string").alias("text"))
+    rows = names(packed, "text", k, salt)  # rows of one doc_id may be of several sets
     gone = gone.select(F.col("doc_id").alias("_gone"), F.col("nid").alias("_set"))
-    left = rows.join(gone, (F.col(key).cast("bigint") == F.col("_gone")) & (F.col("_nid") == F.col("_set")), "left_anti").drop("_nid")
-    return left.where(F.col(key).isNull()).unionByName(left.where(F.col(key).isNotNull()).dropDuplicates([key, text]))
+    left = rows.join(gone, (F.col("doc_id") == F.col("_gone")) & (F.col("_nid") == F.col("_set")), "left_anti")
+    return left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id", "text"])).select("document.*")
 
 
 #: The same for the defaults of ``join`` in SQL: sets of near sizes that share a shingle are counted, and links followed.
