@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchcast.shared import BROADCAST_BYTES
+from matchcast.shared import BROADCAST_BYTES, cut
 
 #: The maps a match may be played on while they are to be announced, and the mark for that.
 MAP_POOL = ("Dust2", "Mirage", "Inferno", "Nuke", "Overpass", "Vertigo", "Ancient")
@@ -39,8 +39,8 @@ def decided(df: DataFrame, names: str) -> DataFrame:
 
 
 def frequent(df: DataFrame, key: str, more_than: int = 9) -> DataFrame:
-    """Rows whose key has more rows than that. The keys are sent to all executors only if their count shows that they are few."""
-    keys = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > more_than).select(key)
+    """Rows whose key has more rows than that. Keys are counted once; they are sent to all executors only if they are few."""
+    keys = cut(df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > more_than).select(key))
     small = keys.count() * 64 <= BROADCAST_BYTES
     return df.join(F.broadcast(keys) if small else keys, key, "left_semi")
 

@@ -399,17 +399,33 @@ def q43_target_statistics(spark, sf_dir):
     return encode.target_statistics(m, "team_1", "score", "team_1_mean").select("seq", six("team_1_mean").alias("team_1_mean"))
 
 
-@query()
-def q44_boosted(spark, sf_dir):
+def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows in order with part and late (the validation rows); numeric and categorical columns."""
     m = ordering.with_seq(_scored(spark, sf_dir).withColumn("day", text.days_since(F.col("date"), "1995-01-01").cast("double")), ORDER)
     players = [f"player_{i + 1}" for i in range(10)]
     m = m.select("*", *(F.get("players", i).alias(c) for i, c in enumerate(players)))
-    parts = ordering.holdout(m, nested=True).withColumn("late", F.col("part") == "validation")
-    model = models.Booster(["day"], ["team_1", "team_2", *players, "map", "team_rank_1", "team_rank_2"], "score")
+    return ordering.holdout(m, nested=True).withColumn("late", F.col("part") == "validation"), ["day"], ["team_1", "team_2", *players, "map", "team_rank_1", "team_rank_2"]
+
+
+@query()
+def q44_boosted(spark, sf_dir):
+    parts, numeric, categorical = _training(spark, sf_dir)
+    model = models.Booster(numeric, categorical, "score")
     model.fit(parts.where("part <> 'test'"), validation="late")
     return model.predict(parts.where("part = 'test'")).select("seq", "score", "p")
 
 
+@query()
+def q44b_classifier(spark, sf_dir):
+    """Of who won; the model is kept, and read again to predict."""
+    parts, numeric, categorical = _training(spark, sf_dir)
+    parts = parts.withColumn("won", (F.col("score") > 0.5).cast("double"))
+    folder = files.scratch(spark, "classifier")
+    models.Booster(numeric, categorical, "won", classifier=True).fit(parts.where("part <> 'test'"), validation="late").save(folder)
+    model = models.Booster(numeric, categorical, "won", classifier=True).load(spark, folder)
+    return model.predict(parts.where("part = 'test'")).select("seq", "won", "p")
+
+
 @query()
 def q45_network(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").withColumn("y", F.col("label") / F.lit(9.0))
