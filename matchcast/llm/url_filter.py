@@ -7,7 +7,9 @@ character. A rule matches a whole canonical URL: the host in lower case and the
 Of the matching rules the first in priority wins; without one the verdict is ``allow``.
 
 Defined cases: a null url, or one without ``://``, has empty host and path; an empty host matches no rule that needs one; repeated
-rows give repeated results; other columns are ignored; an empty table gives an empty table of the same schema.
+rows give repeated results; of rules of equal length the first listed wins; URLs of any length are matched whole, in a step per byte of the
+longest URL of a portion, over the rows that still go on; other columns are ignored; an empty table gives an empty table of the same
+schema.
 """
 
 from __future__ import annotations

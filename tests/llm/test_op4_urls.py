@@ -54,6 +54,12 @@ def test_cases(spark):
     assert op.judge(long).first().rule == "com/en/"
 
 
+def test_of_equal_lengths_the_first_listed_wins(spark):
+    df = spark.createDataFrame([(1, "a://b.com/xy/z")], "page_id bigint, url string")
+    rules = op.host_rule("b.com", "/xy", "block"), op.host_rule("b.com", "/xy", "allow"), op.host_rule("b.com", "/x", "allow")
+    assert op.judge(df, host_rules=rules).first().verdict == "block" and op.judge(df, host_rules=rules[1:] + rules[:1]).first().verdict == "allow"
+
+
 @pytest.mark.parametrize("size", ["sf"])
 def test_query_equals_sql(spark, sf, size):
     assert normal(queries.op4_url_filter(spark, sf).toPandas()) == normal(connect(sf).execute(queries.oracle_sql()["op4_url_filter"]).fetchdf())
