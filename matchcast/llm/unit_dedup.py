@@ -15,7 +15,8 @@ are compared as one, and elsewhere each window is. Each character of a script wi
 is a word there. Of a passage that repeats within a document and overlaps its first occurrence, the words beyond that are removed.
 
 The groups are aggregated (least doc_id, count) before the exchange, so a line of a third of all documents is one row
-per task; the occurrences are then joined to the repeated digests only, by an equi-join that Spark can split where it is skewed.
+per task; the occurrences are then joined to the repeated digests only, and those of a digest that very many have are dealt over tasks
+(``hot``).
 
 Digests that repeat are marked in maps of a fixed ``NAME_BITS`` bits, which go to every worker, so that only units whose bit is set are
 exchanged with their offsets. Units that share a bit cost rows and change no result.
@@ -35,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from matchcast.shared import bounded, cut
+from matchcast.llm.hot import split_join
 from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, powers, ragged, span_hashes, utf8, words
 
 LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 3, 5, 7
@@ -181,9 +183,9 @@ def ranked_repeats(ranked: DataFrame, at: list[str], text: str, line_words: int
     """Every unit to remove: ranks, level, start, end, kept (the place that keeps it)."""
     limits = line_words, sentence_words, run_words
     groups = unit_rows(ranked, at, text, limits).groupBy("h1", "h2").agg(F.min(place(at)).alias("kept"), F.count("*").alias("n"))
-    many = cut(groups.where("n > 1").select("h1", "h2", "kept"))
+    many = cut(groups.where("n > 1"))
     sent = ranked.sparkSession.sparkContext.broadcast(marked(many))
-    gone = unit_rows(ranked, at, text, limits, sent).join(many, ["h1", "h2"]).where((place(at) > F.col("kept")) | ~F.col("fresh"))
+    gone = split_join(unit_rows(ranked, at, text, limits, sent), many, ["h1", "h2"], [*at, "start"]).where((place(at) > F.col("kept")) | ~F.col("fresh"))
     return gone.select(*at, "level", "start", "end", "kept")
 
 
@@ -324,9 +326,9 @@ def ranked_passages(ranked: DataFrame, at: list[str], text: str, words_: int = P
 
         return source.mapInArrow(run, typed(at, "h1 bigint, h2 bigint" + (", start int, own int, end int, fresh boolean" if places else "")))
 
-    many = rows(False).groupBy("h1", "h2").agg(F.min(place(at)).alias("kept"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "kept")
+    many = cut(rows(False).groupBy("h1", "h2").agg(F.min(place(at)).alias("kept"), F.count("*").alias("n")).where("n > 1"))
     later = place(at) > F.col("kept")
-    gone = rows(True).join(many, ["h1", "h2"]).where(later | ~F.col("fresh"))
+    gone = split_join(rows(True), many, ["h1", "h2"], [*at, "start"]).where(later | ~F.col("fresh"))
     return gone.select(*at, F.lit(PASSAGE).cast("tinyint").alias("level"), F.when(later, F.col("start")).otherwise(F.col("own")).alias("start"), "end", "kept")
 
 
