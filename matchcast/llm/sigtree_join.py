@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from matchcast.llm.components import components
+from matchcast.llm.hot import split_join
 from matchcast.shared import BROADCAST_BYTES, bounded, cut
 from matchcast.llm.vec import LOWER, SPACE, U64, chunks, mix, ragged, shingles, span_hashes, utf8, words
 
@@ -580,8 +581,8 @@ def named_join(documents: DataFrame, text: str, key: str, k: int, num: int, den:
             least = F.least(F.floor(F.col("n") / MORE) + 1, F.ceil(F.col("n") * num / den))
             enough = kept.groupBy("nid", "n").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("nid")
             kept = kept.join(enough, "nid", "left_semi")
-        blocks = kept.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token", F.ceil(F.col("g") / BLOCK).cast("int").alias("parts"))
-        placed = kept.join(blocks, "token")
+        blocks = cut(kept.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token", F.col("g").alias("n"), F.ceil(F.col("g") / BLOCK).cast("int").alias("parts")))
+        placed = split_join(kept.withColumnRenamed("n", "size"), blocks, ["token"], ["nid"]).drop("n").withColumnRenamed("size", "n")
         some = cut(placed.select("nid").distinct())
         bitmaps = made.select("nid", "sig").join(F.broadcast(some) if some.count() * 16 <= BROADCAST_BYTES else some, "nid", "left_semi").groupBy("nid").agg(F.first("sig").alias("sig"))
         placed = parted(placed).join(bitmaps, "nid")
