@@ -579,8 +579,8 @@ def named_join(documents: DataFrame, text: str, key: str, k: int, num: int, den:
         kept = cut(shared(entries, num, den))
         if every:
             least = F.least(F.floor(F.col("n") / MORE) + 1, F.ceil(F.col("n") * num / den))
-            enough = kept.groupBy("nid", "n").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("nid")
-            kept = kept.join(enough, "nid", "left_semi")
+            enough = cut(kept.groupBy("nid", "n").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("nid", F.col("c").alias("n")))
+            kept = cut(split_join(kept.withColumnRenamed("n", "size"), enough, ["nid"], ["token"]).drop("n").withColumnRenamed("size", "n"))
         blocks = cut(kept.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token", F.col("g").alias("n"), F.ceil(F.col("g") / BLOCK).cast("int").alias("parts")))
         placed = split_join(kept.withColumnRenamed("n", "size"), blocks, ["token"], ["nid"]).drop("n").withColumnRenamed("size", "n")
         some = cut(placed.select("nid").distinct())
