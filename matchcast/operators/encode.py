@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection, Iterator
+from itertools import pairwise
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, CountVectorizerModel, OneHotEncoder, PCAModel, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from matchcast.operators.ordering import running
 from matchcast.operators.rows import distinct_values
 
+#: Rows of a run of the target statistics.
+SPAN = 500_000
+
 
 def vocabulary(df: DataFrame, columns: list[str]) -> list[str]:
     """Sorted distinct values over columns or lists: what an encoder is fit on, and so held by the driver."""
@@ -106,22 +113,88 @@ class CentredPCA:
         return projected.withColumn(out, moved).drop("_pca")
 
 
+def key_of(column: str) -> Column:
+    """A value as a key that nulls have too."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+
 def melted(df: DataFrame, columns: list[str], *others: str) -> DataFrame:
-    """A row per column and row: its name, its value as a key that nulls have too, and the other columns."""
-    value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
-    every = F.explode(F.array(*(F.struct(F.lit(i).alias("column"), value(c).alias("value")) for i, c in enumerate(columns))))
+    """A row per column and row: its place in the list, its value as a key, and the other columns."""
+    every = F.explode(F.array(*(F.struct(F.lit(i).alias("column"), key_of(c).alias("value")) for i, c in enumerate(columns))))
     return df.select(*others, every.alias("_m")).select(*others, "_m.column", "_m.value")
 
 
-def target_statistics(df: DataFrame, columns: str | list[str], target: str, out: str | list[str], prior: float = 0.5, weight: float = 1.0, seq: str = "seq") -> DataFrame:
+def target_statistics(
+    df: DataFrame, columns: str | list[str], target: str, out: str | list[str], prior: float = 0.5, weight: float = 1.0, seq: str = "seq", view: Callable[[DataFrame], DataFrame] | None = None, kept: list[str] | None = None, span: int = SPAN
+) -> DataFrame:
     """(sum of the target over the value's earlier rows + weight prior) / (their count + weight): no row sees its own target.
 
-    All columns go through one running sum, over a row per column and row, and come back by the number of the row."""
+    Rows are exchanged once, as they are: in runs of ``span`` numbers, each headed by what the values in it have from earlier runs, and read
+    in order. ``view`` adds the columns, the target too if it lacks, after that exchange, where they follow from fewer; ``kept`` are the
+    columns that go along, all if None. Rows without a number go; null targets add nothing."""
     columns, outs = ([columns], [out]) if isinstance(columns, str) else (columns, out)
-    rows = running(melted(df, columns, seq, target), ["column", "value"], F.col(target), seq)
-    statistic = (F.col("before_sum") + weight * prior) / (F.col("before_n") + weight)
-    wide = rows.withColumn("_s", statistic).groupBy(seq).agg(*(F.max(F.when(F.col("column") == i, F.col("_s"))).alias(o) for i, o in enumerate(outs)))
-    return df.join(wide, seq).select(*df.columns, *outs)
+    view = view or (lambda d: d)
+    names = view(df).columns if kept is None else kept
+    rows = df.where(F.col(seq).isNotNull()).withColumn("_b", F.floor(F.col(seq) / span))
+    value = F.col(target).cast("double")
+    sums = melted(view(rows).withColumn("_v", value), columns, "_b", "_v").groupBy("column", "value", "_b").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
+    earlier = Window.partitionBy("column", "value").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    heads = sums.select("_b", F.col("column").alias("_c"), F.col("value").alias("_k"), F.sum("_n").over(earlier).alias("_n"), F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s")).where("_n > 0")
+    both = rows.unionByName(heads, allowMissingColumns=True)
+    runs = both.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_b").sortWithinPartitions("_b", F.asc_nulls_last("_c"), seq)
+    wide = view(runs)
+    keys = [f"_k{i}" for i in range(len(columns))]
+    given = wide.select(*names, "_b", "_c", "_k", "_n", "_s", value.alias("_v"), *(key_of(c).alias(k) for c, k in zip(columns, keys, strict=True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, state = None, []
+        for batch in batches:
+            b = batch.column("_b").to_numpy()
+            edges = [0, *(np.flatnonzero(b[1:] != b[:-1]) + 1).tolist(), len(b)] if len(b) else []
+            for low, high in pairwise(edges):
+                if b[low] != block:
+                    block, state = b[low], [Earlier(prior * weight, weight) for _ in columns]
+                part = batch.slice(low, high - low)
+                m = high - low - part.column("_c").null_count  # heads come first
+                head = part.slice(0, m)
+                for c, k, n, s in zip(*(head.column(x).to_pylist() for x in ("_c", "_k", "_n", "_s")), strict=True):
+                    state[c].begin(k, n, s)
+                part = part.slice(m)
+                if part.num_rows:
+                    v = part.column("_v").to_pylist()
+                    found = [e.read(part.column(k), v) for e, k in zip(state, keys, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(part.column(x) for x in names), *found], [*names, *outs])
+
+    schema = StructType([*wide.select(*names).schema.fields, *(StructField(o, DoubleType()) for o in outs)])
+    return given.mapInArrow(run, schema)
+
+
+class Earlier:
+    """Count and sum of the target by value, of the rows read so far."""
+
+    def __init__(self, add: float, weight: float):
+        self.add, self.weight = add, weight
+        self.place: dict[str, int] = {}
+        self.n: list[int] = []
+        self.s: list[float] = []
+
+    def begin(self, key: str, n: int, s: float) -> int:
+        self.n.append(n)
+        self.s.append(s)
+        return self.place.setdefault(key, len(self.place))
+
+    def read(self, keys: pa.Array, values: list[float | None]) -> pa.Array:
+        """The statistic of each row, before its own value is added."""
+        coded = keys.dictionary_encode()
+        at = [self.place[k] if k in self.place else self.begin(k, 0, 0.0) for k in coded.dictionary.to_pylist()]
+        n, s, add, weight, found = self.n, self.s, self.add, self.weight, []
+        for code, v in zip(coded.indices.to_pylist(), values, strict=True):
+            k = at[code]
+            found.append((s[k] + add) / (n[k] + weight) if n[k] + weight else None)
+            if v is not None:
+                n[k] += 1
+                s[k] += v
+        return pa.array(found, pa.float64())
 
 
 def full_statistics(df: DataFrame, columns: list[str], target: str, prior: float = 0.5, weight: float = 1.0) -> DataFrame:
@@ -130,12 +203,12 @@ def full_statistics(df: DataFrame, columns: list[str], target: str, prior: float
     return rows.groupBy("column", "value").agg(((F.sum(target) + weight * prior) / (F.count(target) + weight)).alias("statistic"))
 
 
-def known_statistics(df: DataFrame, statistics: DataFrame, columns: list[str], outs: list[str], prior: float, small: bool) -> DataFrame:
-    """Adds what ``full_statistics`` has for each column's value, and the prior for values that are new."""
+def known_statistics(df: DataFrame, statistics: DataFrame, columns: list[str], outs: list[str], prior: float, small: Collection[int]) -> DataFrame:
+    """Adds what ``full_statistics`` has for each column's value, and the prior for values that are new. ``small``: the places of columns
+    whose values may be sent to every executor."""
     for i, (c, out) in enumerate(zip(columns, outs, strict=True)):
         own = statistics.where(F.col("column") == i).select(F.col("value").alias("_value"), F.col("statistic").alias(out))
-        key = F.coalesce(F.concat(F.lit("="), df[c].cast("string")), F.lit(""))
-        df = df.join(F.broadcast(own) if small else own, key == own["_value"], "left").drop("_value").fillna({out: prior})
+        df = df.join(F.broadcast(own) if i in small else own, key_of(c) == own["_value"], "left").drop("_value").fillna({out: prior})
     return df
 
 
@@ -146,4 +219,4 @@ def to_vector(xs: Column) -> Column:
     return array_to_vector(xs)
 
 
-__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "full_statistics", "known_statistics", "melted", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "z_score"]
+__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "full_statistics", "key_of", "known_statistics", "melted", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "z_score"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from itertools import product
 
 from pyspark.ml import PipelineModel
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from matchcast.operators.encode import assemble, full_statistics, known_statistics, target_statistics
 from matchcast.operators.evaluate import accuracy
-from matchcast.shared import BROADCAST_BYTES, cut
+from matchcast.shared import BROADCAST_BYTES, cut, kept, remove
 
 #: Categorical columns of the played maps, the grids that are searched, and the learner's usual rounds and depth.
 CATEGORICAL = ["team_1", "team_2", *(f"player{i}_team{s}" for s in (1, 2) for i in range(1, 6)), "map", "team_rank_1", "team_rank_2"]
@@ -34,15 +34,22 @@ class Booster:
         self.model = None
         self.statistics: DataFrame | None = None
 
-    def fit(self, rows: DataFrame, seq: str = "seq", validation: str | None = None, tolerance: float = 0.0) -> Booster:
-        """``validation`` names a boolean column: rounds end where its rows gain no more than the tolerance, and the best round stays."""
-        train = cut(target_statistics(rows, self.categorical, self.target, self.means, self.prior, seq=seq)) if self.categorical else rows
-        self.statistics = cut(full_statistics(rows, self.categorical, self.target, self.prior)) if self.categorical else None
+    def fit(self, rows: DataFrame, seq: str = "seq", validation: str | None = None, tolerance: float = 0.0, view: Callable[[DataFrame], DataFrame] | None = None) -> Booster:
+        """``validation`` names a boolean column: rounds end where its rows gain no more than the tolerance, and the best round stays.
+        ``view`` adds the columns that the rows lack; rows are exchanged without these. What the learner reads is kept until it has."""
+        wide = view(rows) if view else rows
+        train, folder = wide, None
+        if self.categorical:
+            needed = list(dict.fromkeys([*self.numeric, self.target, *([validation] if validation else [])]))
+            train, folder = kept(target_statistics(rows, self.categorical, self.target, self.means, self.prior, seq=seq, view=view, kept=needed), "statistics")
+        self.statistics = cut(full_statistics(wide, self.categorical, self.target, self.prior)) if self.categorical else None
         learner = self.learner
         if validation:
             learner = learner.copy().setValidationIndicatorCol(validation)
             learner.set(learner.validationTol, tolerance)
         self.model = learner.fit(assemble(train, self.inputs))
+        if folder:
+            remove(rows.sparkSession, folder)
         return self
 
     @property
@@ -56,7 +63,8 @@ class Booster:
     def predict(self, rows: DataFrame, out: str = "p") -> DataFrame:
         """Adds the prediction, or the chance of 1."""
         if self.categorical:
-            small = self.statistics.count() * 64 <= BROADCAST_BYTES
+            sizes = self.statistics.groupBy("column").count().collect()
+            small = {r["column"] for r in sizes if r["count"] * 64 <= BROADCAST_BYTES}
             rows = known_statistics(rows, self.statistics, self.categorical, self.means, self.prior, small)
         scored = self.model.transform(assemble(rows, self.inputs))
         value = vector_to_array("probability")[1] if self.classifier else F.col("prediction")

@@ -7,6 +7,7 @@ partitions, a row each, give the offsets.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -15,11 +16,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from matchcast.shared import cut
 
 
-def with_seq(df: DataFrame, by: list[str], name: str = "seq") -> DataFrame:
-    """Adds 1, 2, .. in the order of the columns ``by``; rows alike in all of them follow in any order."""
+def with_seq(df: DataFrame, by: list[str], name: str = "seq", keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
+    """Adds 1, 2, .. in the order of the columns ``by``; rows alike in all of them follow in any order. ``keep`` keeps the ordered rows."""
     inner = "_place"
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = cut(df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn(inner, F.monotonically_increasing_id()))
+    ordered = keep(df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn(inner, F.monotonically_increasing_id()))
     part = F.shiftright(inner, 33)
     counts = sorted((r["p"], r["n"]) for r in ordered.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
     before, offsets = 0, []

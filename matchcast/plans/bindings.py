@@ -30,16 +30,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
-    return table(spark, sf_dir, "lineitem").select(
-        *KEY,
-        c("l_shipdate").cast("date").alias("date"),
+    rows = table(spark, sf_dir, "lineitem").select(*KEY, c("l_shipdate").cast("date").alias("date"), (F.floor("l_quantity").cast("bigint") % 17).cast("int").alias("score_1"), c("l_returnflag").alias("pick"))
+    return of_keys(rows).select(*KEY, "date", "team_1", "team_2", "score_1", "score_2", "team_rank_1", "team_rank_2", "pick", "pred", "map", "players")
+
+
+def of_keys(rows: DataFrame) -> DataFrame:
+    """Adds the columns of the view that follow from the line's keys alone."""
+    c = F.col
+    return rows.select(
+        "*",
         F.concat(F.lit("T"), c("l_suppkey").cast("string")).alias("team_1"),
         F.concat(F.lit("T"), (c("l_partkey") % 100).cast("string")).alias("team_2"),
-        (F.floor("l_quantity").cast("bigint") % 17).cast("int").alias("score_1"),
         (c("l_partkey") % 17).cast("int").alias("score_2"),
         c("l_suppkey").alias("team_rank_1"),
         (c("l_partkey") % 100 + 1).alias("team_rank_2"),
-        c("l_returnflag").alias("pick"),
         (((c("l_orderkey") * 7919 + c("l_partkey") * 104729 + c("l_linenumber")) % 1000).cast("double") / F.lit(1000.0)).alias("pred"),
         F.get(F.array(*map(F.lit, MAP_POOL)), (c("l_orderkey") % 7).cast("int")).alias("map"),
         F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.concat(F.lit("P"), ((c("l_suppkey") * 5 + i) % 400).cast("string"))).alias("players"),
