@@ -212,6 +212,20 @@ def known_statistics(df: DataFrame, statistics: DataFrame, columns: list[str], o
     return df
 
 
+def entries(vector: str | Column) -> Column:
+    """A vector's stored entries as an array of structs (at, x), by place from 0: as many as it has, not as it is wide. A dense vector
+    stores all."""
+    v = F.unwrap_udt(vector)
+    sparse = F.zip_with(v["indices"], v["values"], lambda i, x: F.struct(i.alias("at"), x.alias("x")))
+    return F.coalesce(sparse, F.transform(v["values"], lambda x, i: F.struct(i.alias("at"), x.alias("x"))))
+
+
+def width(vector: str | Column) -> Column:
+    """The places of a vector, of which it need not store all."""
+    v = F.unwrap_udt(vector)
+    return F.coalesce(v["size"], F.size(v["values"])).cast("bigint")
+
+
 def to_vector(xs: Column) -> Column:
     """An array of doubles as a vector."""
     from pyspark.ml.functions import array_to_vector
@@ -219,4 +233,4 @@ def to_vector(xs: Column) -> Column:
     return array_to_vector(xs)
 
 
-__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "full_statistics", "key_of", "known_statistics", "melted", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "z_score"]
+__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "entries", "full_statistics", "key_of", "known_statistics", "melted", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "width", "z_score"]
