@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from matchcast.llm.components import components
 from matchcast.llm.hot import split_join
@@ -576,11 +576,11 @@ def named_join(documents: DataFrame, text: str, key: str, k: int, num: int, den:
 
     def edges(entries: DataFrame, every: bool) -> DataFrame:
         """Of entries (token, salt, n, nid, comp): which components may be linked. With ``every``, all first tokens are among them."""
-        kept = cut(shared(entries, num, den))
-        if every:
+        kept = shared(entries, num, den)
+        if every:  # a set's rows are fewer than the words of its text, so one exchange by set may gather them
             least = F.least(F.floor(F.col("n") / MORE) + 1, F.ceil(F.col("n") * num / den))
-            enough = cut(kept.groupBy("nid", "n").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("nid", F.col("c").alias("n")))
-            kept = cut(split_join(kept.withColumnRenamed("n", "size"), enough, ["nid"], ["token"]).drop("n").withColumnRenamed("size", "n"))
+            kept = kept.withColumn("_c", F.count("*").over(Window.partitionBy("nid"))).where(F.col("_c") >= least).drop("_c")
+        kept = cut(kept)
         blocks = cut(kept.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token", F.col("g").alias("n"), F.ceil(F.col("g") / BLOCK).cast("int").alias("parts")))
         placed = split_join(kept.withColumnRenamed("n", "size"), blocks, ["token"], ["nid"]).drop("n").withColumnRenamed("size", "n")
         some = cut(placed.select("nid").distinct())
