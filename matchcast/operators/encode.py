@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from matchcast.operators.rows import distinct_values
+from matchcast.shared import kept as written, remove
 
 #: Rows of a run of the target statistics.
 SPAN = 500_000
+#: First rows that tell which columns may part all rows alike.
+FIRST = 5000
 
 
 def vocabulary(df: DataFrame, columns: list[str]) -> list[str]:
@@ -118,33 +121,78 @@ def key_of(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
-def melted(df: DataFrame, columns: list[str], *others: str) -> DataFrame:
-    """A row per column and row: its place in the list, its value as a key, and the other columns."""
-    every = F.explode(F.array(*(F.struct(F.lit(i).alias("column"), key_of(c).alias("value")) for i, c in enumerate(columns))))
-    return df.select(*others, every.alias("_m")).select(*others, "_m.column", "_m.value")
+def alike(df: DataFrame, columns: list[str]) -> list[list[int]]:
+    """Sets of columns, by their places in the list: those are together that part the first rows in the same way."""
+    first = df.select(*(key_of(c) for c in columns)).limit(FIRST).collect()
+    found: dict[tuple[int, ...], list[int]] = {}
+    for i in range(len(columns)):
+        place: dict[str, int] = {}
+        found.setdefault(tuple(place.setdefault(r[i], len(place)) for r in first), []).append(i)
+    return list(found.values())
+
+
+def sums_by_run(df: DataFrame, columns: list[str], target: str, sets: list[list[int]], seq: str = "seq", view: Callable[[DataFrame], DataFrame] | None = None, span: int = SPAN) -> DataFrame:
+    """(_g, _k, _b, _n, _s): count and sum of the target by set of columns, values of all its columns, and run."""
+    rows = df.withColumn("_b", F.floor(F.col(seq) / span))
+    every = F.explode(F.array(*(F.struct(F.lit(g).alias("_g"), F.array(*(key_of(columns[i]) for i in places)).alias("_k")) for g, places in enumerate(sets))))
+    long = (view(rows) if view else rows).select("_b", F.col(target).cast("double").alias("_v"), every.alias("_m"))
+    return long.groupBy(F.col("_m._g").alias("_g"), F.col("_m._k").alias("_k"), "_b").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
+
+
+def alike_sums(df: DataFrame, columns: list[str], target: str, seq: str = "seq", view: Callable[[DataFrame], DataFrame] | None = None, span: int = SPAN) -> tuple[list[list[int]], DataFrame, str]:
+    """Sets of columns that part all rows alike, their ``sums_by_run``, and the folder these are kept in.
+
+    What the first rows suggest is checked over all rows: a set stays if each of its columns has as many values as the set has, else its
+    columns stand alone."""
+    sets = alike(view(df) if view else df, columns)
+    while True:
+        sums, folder = written(sums_by_run(df, columns, target, sets, seq, view, span), "sums")
+        values = sums.select("_g", "_k").distinct().select("_g", F.posexplode("_k").alias("_p", "value"))
+        counts = values.groupBy("_g", "_p").agg(F.count("*").alias("all"), F.count_distinct("value").alias("own")).collect()
+        apart = {r["_g"] for r in counts if r["all"] != r["own"]}
+        if not apart:
+            return sets, sums, folder
+        remove(df.sparkSession, folder)
+        sets = [part for g, places in enumerate(sets) for part in ([[i] for i in places] if g in apart else [places])]
 
 
 def target_statistics(
-    df: DataFrame, columns: str | list[str], target: str, out: str | list[str], prior: float = 0.5, weight: float = 1.0, seq: str = "seq", view: Callable[[DataFrame], DataFrame] | None = None, kept: list[str] | None = None, span: int = SPAN
+    df: DataFrame,
+    columns: str | list[str],
+    target: str,
+    out: str | list[str],
+    prior: float = 0.5,
+    weight: float = 1.0,
+    seq: str = "seq",
+    view: Callable[[DataFrame], DataFrame] | None = None,
+    kept: list[str] | None = None,
+    span: int = SPAN,
+    sums: tuple[list[list[int]], DataFrame] | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """(sum of the target over the value's earlier rows + weight prior) / (their count + weight): no row sees its own target.
 
     Rows are exchanged once, as they are: in runs of ``span`` numbers, each headed by what the values in it have from earlier runs, and read
     in order. ``view`` adds the columns, the target too if it lacks, after that exchange, where they follow from fewer; ``kept`` are the
-    columns that go along, all if None. Rows without a number go; null targets add nothing."""
+    columns that go along, all if None. Rows without a number go; null targets add nothing.
+
+    ``sums``: sets of columns that part the rows alike and their sums, from ``alike_sums``; a set has one statistic, and ``keep`` keeps rows
+    that have it once. Else each column is a set of its own."""
     columns, outs = ([columns], [out]) if isinstance(columns, str) else (columns, out)
     view = view or (lambda d: d)
     names = view(df).columns if kept is None else kept
-    rows = df.where(F.col(seq).isNotNull()).withColumn("_b", F.floor(F.col(seq) / span))
+    sets, own = sums or ([[i] for i in range(len(columns))], None)
+    numbered = df.where(F.col(seq).isNotNull())
+    rows = numbered.withColumn("_b", F.floor(F.col(seq) / span))
     value = F.col(target).cast("double")
-    sums = melted(view(rows).withColumn("_v", value), columns, "_b", "_v").groupBy("column", "value", "_b").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
-    earlier = Window.partitionBy("column", "value").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    heads = sums.select("_b", F.col("column").alias("_c"), F.col("value").alias("_k"), F.sum("_n").over(earlier).alias("_n"), F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s")).where("_n > 0")
+    own = (sums_by_run(numbered, columns, target, sets, seq, view, span) if own is None else own.where("_b is not null")).select("_b", "_g", F.get("_k", F.lit(0)).alias("_k"), "_n", "_s")
+    earlier = Window.partitionBy("_g", "_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    heads = own.select("_b", F.col("_g").alias("_c"), "_k", F.sum("_n").over(earlier).alias("_n"), F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s")).where("_n > 0")
     both = rows.unionByName(heads, allowMissingColumns=True)
     runs = both.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_b").sortWithinPartitions("_b", F.asc_nulls_last("_c"), seq)
     wide = view(runs)
-    keys = [f"_k{i}" for i in range(len(columns))]
-    given = wide.select(*names, "_b", "_c", "_k", "_n", "_s", value.alias("_v"), *(key_of(c).alias(k) for c, k in zip(columns, keys, strict=True)))
+    keys, found = [f"_k{g}" for g in range(len(sets))], [f"_t{g}" for g in range(len(sets))]
+    given = wide.select(*names, "_b", "_c", "_k", "_n", "_s", value.alias("_v"), *(key_of(columns[places[0]]).alias(k) for places, k in zip(sets, keys, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, state = None, []
@@ -153,7 +201,7 @@ def target_statistics(
             edges = [0, *(np.flatnonzero(b[1:] != b[:-1]) + 1).tolist(), len(b)] if len(b) else []
             for low, high in pairwise(edges):
                 if b[low] != block:
-                    block, state = b[low], [Earlier(prior * weight, weight) for _ in columns]
+                    block, state = b[low], [Earlier(prior * weight, weight) for _ in keys]
                 part = batch.slice(low, high - low)
                 m = high - low - part.column("_c").null_count  # heads come first
                 head = part.slice(0, m)
@@ -162,11 +210,12 @@ def target_statistics(
                 part = part.slice(m)
                 if part.num_rows:
                     v = part.column("_v").to_pylist()
-                    found = [e.read(part.column(k), v) for e, k in zip(state, keys, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*(part.column(x) for x in names), *found], [*names, *outs])
+                    read = [e.read(part.column(k), v) for e, k in zip(state, keys, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(part.column(x) for x in names), *read], [*names, *found])
 
-    schema = StructType([*wide.select(*names).schema.fields, *(StructField(o, DoubleType()) for o in outs)])
-    return given.mapInArrow(run, schema)
+    schema = StructType([*wide.select(*names).schema.fields, *(StructField(f, DoubleType()) for f in found)])
+    of = {i: f for places, f in zip(sets, found, strict=True) for i in places}
+    return keep(given.mapInArrow(run, schema)).select(*names, *(F.col(of[i]).alias(o) for i, o in enumerate(outs)))
 
 
 class Earlier:
@@ -197,10 +246,12 @@ class Earlier:
         return pa.array(found, pa.float64())
 
 
-def full_statistics(df: DataFrame, columns: list[str], target: str, prior: float = 0.5, weight: float = 1.0) -> DataFrame:
-    """(column, value, statistic) over all rows, columns by their place in the list: for new rows."""
-    rows = melted(df, columns, target)
-    return rows.groupBy("column", "value").agg(((F.sum(target) + weight * prior) / (F.count(target) + weight)).alias("statistic"))
+def full_statistics(sets: list[list[int]], sums: DataFrame, prior: float = 0.5, weight: float = 1.0) -> DataFrame:
+    """(column, value, statistic) over all rows, columns by their place in the list, from ``alike_sums``: for new rows."""
+    total = sums.groupBy("_g", "_k").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"))
+    rows = total.select("_g", "_n", "_s", F.posexplode("_k").alias("_p", "value"))
+    column = F.get(F.get(F.array(*(F.array(*map(F.lit, places)) for places in sets)), F.col("_g")), F.col("_p"))
+    return rows.groupBy(column.alias("column"), "value").agg(((F.sum("_s") + weight * prior) / (F.sum("_n") + weight)).alias("statistic"))
 
 
 def known_statistics(df: DataFrame, statistics: DataFrame, columns: list[str], outs: list[str], prior: float, small: Collection[int]) -> DataFrame:
@@ -233,4 +284,4 @@ def to_vector(xs: Column) -> Column:
     return array_to_vector(xs)
 
 
-__all__ = ["CentredPCA", "VectorUDT", "Vectors", "assemble", "boosted_layout", "entries", "full_statistics", "key_of", "known_statistics", "melted", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "width", "z_score"]
+__all__ = ["CentredPCA", "VectorUDT", "Vectors", "alike_sums", "assemble", "boosted_layout", "entries", "full_statistics", "key_of", "known_statistics", "multi_hot", "multi_hot_rows", "network_layout", "one_hot", "target_statistics", "to_vector", "vocabulary", "width", "z_score"]

@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, functions as F
 
-from matchcast.operators.encode import assemble, full_statistics, known_statistics, target_statistics
+from matchcast.operators.encode import alike_sums, assemble, full_statistics, known_statistics, target_statistics
 from matchcast.operators.evaluate import accuracy
 from matchcast.shared import BROADCAST_BYTES, cut, kept, remove
 
@@ -36,19 +36,29 @@ class Booster:
 
     def fit(self, rows: DataFrame, seq: str = "seq", validation: str | None = None, tolerance: float = 0.0, view: Callable[[DataFrame], DataFrame] | None = None) -> Booster:
         """``validation`` names a boolean column: rounds end where its rows gain no more than the tolerance, and the best round stays.
-        ``view`` adds the columns that the rows lack; rows are exchanged without these. What the learner reads is kept until it has."""
+        ``view`` adds the columns that the rows lack; rows are exchanged without these. What the learner reads is kept until it has, and a
+        statistic that several columns share once."""
         wide = view(rows) if view else rows
-        train, folder = wide, None
+        train, folders = wide, []
+
+        def keep(df: DataFrame) -> DataFrame:
+            found, folder = kept(df, "statistics")
+            folders.append(folder)
+            return found
+
+        self.statistics = None
         if self.categorical:
             needed = list(dict.fromkeys([*self.numeric, self.target, *([validation] if validation else [])]))
-            train, folder = kept(target_statistics(rows, self.categorical, self.target, self.means, self.prior, seq=seq, view=view, kept=needed), "statistics")
-        self.statistics = cut(full_statistics(wide, self.categorical, self.target, self.prior)) if self.categorical else None
+            sets, sums, folder = alike_sums(rows, self.categorical, self.target, seq, view)
+            self.statistics = cut(full_statistics(sets, sums, self.prior))
+            train = target_statistics(rows, self.categorical, self.target, self.means, self.prior, seq=seq, view=view, kept=needed, sums=(sets, sums), keep=keep)
+            remove(rows.sparkSession, folder)
         learner = self.learner
         if validation:
             learner = learner.copy().setValidationIndicatorCol(validation)
             learner.set(learner.validationTol, tolerance)
         self.model = learner.fit(assemble(train, self.inputs))
-        if folder:
+        for folder in folders:
             remove(rows.sparkSession, folder)
         return self
 

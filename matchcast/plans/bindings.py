@@ -46,7 +46,7 @@ def of_keys(rows: DataFrame) -> DataFrame:
         (c("l_partkey") % 100 + 1).alias("team_rank_2"),
         (((c("l_orderkey") * 7919 + c("l_partkey") * 104729 + c("l_linenumber")) % 1000).cast("double") / F.lit(1000.0)).alias("pred"),
         F.get(F.array(*map(F.lit, MAP_POOL)), (c("l_orderkey") % 7).cast("int")).alias("map"),
-        F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.concat(F.lit("P"), ((c("l_suppkey") * 5 + i) % 400).cast("string"))).alias("players"),
+        F.array(*(F.concat(F.lit("P"), ((c("l_suppkey") * 5 + i) % 400).cast("string")) for i in range(10))).alias("players"),
     )
 
 

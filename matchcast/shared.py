@@ -20,6 +20,7 @@ BROADCAST_BYTES = 8 << 20
 #: Most rows and bytes of a batch that goes to Python.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 _CLEANS = "spark.cleaner.referenceTracking.cleanCheckpoints"
+_EXCHANGES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: What was written, by the blocks that are open; the first list is the program's.
 _owned: list[list[tuple[SparkSession, str]]] = [[]]
 
@@ -75,9 +76,15 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 def kept(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As ``cut``, but as compressed columns in a folder of ``fresh_dir``, which is returned too: a fraction of the bytes of a checkpoint;
-    rows of a partition may be read in several, or with others'."""
-    folder = fresh_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(folder)
+    rows of a partition may be read in several, or with others'. Files of its exchanges go once it is written, not when the driver collects
+    its garbage."""
+    folder, conf = fresh_dir(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_EXCHANGES, None)
+    conf.set(_EXCHANGES, "true")  # read when the write begins
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        conf.unset(_EXCHANGES) if before is None else conf.set(_EXCHANGES, before)
     return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 
 
